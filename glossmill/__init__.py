@@ -2,6 +2,7 @@
 
 from glossmill.operators.annotate import annotate, annotate_with
 from glossmill.operators.blocks import group_blocks, oversize_lines
+from glossmill.operators.distribute import distribute
 from glossmill.operators.lexicon import build_lexicon
 from glossmill.operators.nested import flatten_sentences, flatten_tokens, nest_children
 from glossmill.operators.parse import parse_blocks
@@ -18,6 +19,7 @@ __all__ = [
     "annotate",
     "annotate_with",
     "build_lexicon",
+    "distribute",
     "enforce_schema",
     "fill_missing",
     "flatten_sentences",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The 29 characters that a Unicode-aware strip removes, and the
 # same set as a regular-expression class.
@@ -13,10 +15,10 @@ WHITESPACE = (
 )
 WHITESPACE_CLASS = r"(?U)[\s\x1c-\x1f\x85]"
 
-# Line ends, and the token rule. A token is a word with inner
+# Runs of line ends, and the token rule. A token is a word with inner
 # apostrophes, a number with inner points or commas, or one other character that
 # is not whitespace.
-LINE_END = r"\r\n|\r|\n"
+LINE_ENDS = r"[\r\n]+"
 TOKEN_RULE = (
     r"[\p{L}\p{M}]+(?:['’][\p{L}]+)*"
     r"|\p{N}+(?:[.,]\p{N}+)*"
@@ -51,7 +53,7 @@ def strip(text: Column) -> Column:
 
 def text_lines(text: Column) -> Column:
     """The stripped, non-empty lines of a multi-line string, in order."""
-    stripped = F.transform(F.split(text, LINE_END), strip)
+    stripped = F.transform(F.split(text, LINE_ENDS), strip)
     return F.filter(stripped, lambda line: line != "")
 
 
@@ -73,7 +75,7 @@ def shape_lemma(token: Column) -> Column:
 def shape_pos1(token: Column) -> Column:
     """The coarse part of speech that the first character of a token gives."""
     return (
-        F.when(token.rlike(r"^[\p{L}\p{M}]"), "X")
+        F.when(_is_ascii_word(token) | token.rlike(r"^[\p{L}\p{M}]"), "X")
         .when(token.rlike(r"^\p{N}"), "NUM")
         .when(token.rlike(r"^\p{P}"), "PUNCT")
         .when(token.rlike(r"^\p{S}"), "SYM")
@@ -83,7 +85,24 @@ def shape_pos1(token: Column) -> Column:
 
 def shape_pos2(token: Column) -> Column:
     """The fine tag that the first character of a token gives."""
-    tag = F.when(token.rlike(r"^[\p{L}\p{M}]"), "XX").when(token.rlike(r"^\p{N}"), "CD")
+    tag = F.when(_is_ascii_word(token) | token.rlike(r"^[\p{L}\p{M}]"), "XX").when(token.rlike(r"^\p{N}"), "CD")
     for name, characters in PUNCTUATION_TAGS.items():
         tag = tag.when(token.isin(*characters), name)
     return tag.when(token.rlike(r"^[\p{P}\p{S}]"), "SYM").otherwise("XX")
+
+
+def _is_ascii_word(token: Column) -> Column:
+    # Most tokens are, and a number is cheaper to test than a pattern.
+    first = F.ascii(token)
+    return first.between(97, 122) | first.between(65, 90)
+
+
+def explode_with_position(df: DataFrame, keep: Sequence[str], items: Column, position: str, item: str) -> DataFrame:
+    """One row per array item with its 0-based position.
+
+    From a plain explode the optimizer infers a filter on the array being
+    non-empty, which computes `items` again for each of its two conditions. The
+    outer form with a filter on the position computes it once.
+    """
+    exploded = df.select(*keep, F.posexplode_outer(items).alias(position, item))
+    return exploded.filter(F.col(position).isNotNull())

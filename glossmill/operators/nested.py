@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from glossmill.functions.text import explode_with_position
 from glossmill.operators.blocks import MAX_BLOCK_BYTES
 from glossmill.schemas import TOKEN_FIELDS
 
@@ -93,9 +94,8 @@ def flatten_sentences(records: DataFrame, keys: Sequence[str] = ("id",)) -> Data
 def flatten_tokens(sentences: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     """`flatten_sentences` output -> one row per token, with `tok_pos` and five fields."""
     zipped = F.arrays_zip(*[_as_long_as_token(f).alias(f) for f in TOKEN_FIELDS])
-    return sentences.select(*keys, "sent_pos", F.posexplode(zipped).alias("tok_pos", "t")).select(
-        *keys, "sent_pos", "tok_pos", *[F.col("t").getField(f).alias(f) for f in TOKEN_FIELDS]
-    )
+    rows = explode_with_position(sentences, [*keys, "sent_pos"], zipped, "tok_pos", "t")
+    return rows.select(*keys, "sent_pos", "tok_pos", "t.*")
 
 
 def _as_long_as_token(name: str) -> Column:

@@ -12,9 +12,16 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from glossmill.functions.safe import json_error, json_field_or_null
-from glossmill.functions.text import TOKEN_RULE, split_tags, text_lines, tokens
+from glossmill.functions.text import (
+    TOKEN_RULE,
+    explode_with_position,
+    split_tags,
+    text_lines,
+    tokens,
+)
 from glossmill.operators.annotate import Annotator, annotate, annotate_with, tag_tokens
 from glossmill.operators.blocks import group_blocks
+from glossmill.operators.distribute import distribute
 from glossmill.operators.lexicon import build_lexicon
 from glossmill.operators.nested import flatten_sentences, flatten_tokens, nest_children
 from glossmill.operators.parse import parse_blocks
@@ -45,7 +52,8 @@ def _size(items: Column | str) -> Column:
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as records: `id, tags, texts`; a line is a sentence."""
-    return _table(spark, sf_dir, "documents").select(
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    return distribute(documents).select(
         F.col("doc_id").cast("string").alias("id"),
         split_tags(F.concat_ws(" ", "lang", "source")).alias("tags"),
         text_lines(F.col("text")).alias("texts"),
@@ -53,18 +61,19 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", text_lines(F.col("text")).alias("texts")
-    )
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return distribute(turns).select("conv_id", "turn", text_lines(F.col("text")).alias("texts"))
 
 
 def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _documents(spark, sf_dir).select("id", F.posexplode("texts").alias("sent_pos", "text"))
+    return explode_with_position(
+        _documents(spark, sf_dir), ["id"], F.col("texts"), "sent_pos", "text"
+    )
 
 
 def _document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sentences(spark, sf_dir).select(
-        "id", "sent_pos", F.posexplode(tokens(F.col("text"))).alias("tok_pos", "token")
+    return explode_with_position(
+        _sentences(spark, sf_dir), ["id", "sent_pos"], tokens(F.col("text")), "tok_pos", "token"
     )
 
 
@@ -182,11 +191,8 @@ def split_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_tags_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _documents(spark, sf_dir)
-        .select("id", F.posexplode("tags").alias("pos", "tag"))
-        .withColumn("pos", F.col("pos").cast("bigint"))
-    )
+    tags = explode_with_position(_documents(spark, sf_dir), ["id"], F.col("tags"), "pos", "tag")
+    return tags.withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def _token_columns(*names: str) -> list[Column | str]:
