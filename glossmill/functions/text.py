@@ -92,9 +92,8 @@ def shape_pos2(token: Column) -> Column:
 
 
 def _is_ascii_word(token: Column) -> Column:
-    # Most tokens are, and a number is cheaper to test than a pattern.
-    first = F.ascii(token)
-    return first.between(97, 122) | first.between(65, 90)
+    # Most tokens are, and comparing strings is cheaper than matching a pattern.
+    return ((token >= "a") & (token < "{")) | ((token >= "A") & (token < "["))
 
 
 def explode_with_position(df: DataFrame, keep: Sequence[str], items: Column, position: str, item: str) -> DataFrame:

@@ -47,9 +47,20 @@ def fill_missing(df: DataFrame, schema: T.StructType = RECORD_SCHEMA) -> DataFra
     unknown = _unknown_fields(df.schema, schema, "")
     if unknown:
         raise TypeError(f"unexpected fields: {', '.join(unknown)}")
+    if all(_fits(df.schema[f.name], f) if f.name in df.columns else f.nullable for f in schema):
+        return df.select(
+            [f.name if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        )
+    # Rebuilds every array element by element, so only when a type differs.
     return df.to(schema)
 
 
+def _fits(actual: T.StructField, expected: T.StructField) -> bool:
+    # simpleString leaves out nullability.
+    same_type = actual.dataType.simpleString() == expected.dataType.simpleString()
+    return same_type and (expected.nullable or not actual.nullable)
+
+
 def _unknown_fields(actual: T.DataType, expected: T.DataType, prefix: str) -> list[str]:
     if isinstance(actual, T.ArrayType) and isinstance(expected, T.ArrayType):
         return _unknown_fields(actual.elementType, expected.elementType, prefix)
