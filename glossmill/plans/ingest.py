@@ -21,6 +21,8 @@ from glossmill.sources.text import scan_lines
 DEFAULT_SRC = "/data/abstracts/test.txt"
 DEFAULT_DEST = "/data/test.json"
 
+KEYS = ("path", "block_no")
+
 
 def ingest(
     spark: SparkSession,
@@ -34,41 +36,63 @@ def ingest(
     keep_unterminated: bool = True,
     max_block_bytes: int = MAX_BLOCK_BYTES,
     partitions: int | None = None,
+    ordered: bool = False,
 ) -> dict[str, int]:
-    """Read `src`, write nested records to `dest`, and return block counts.
+    """Read `src`, write nested records to `dest`, and count the rows written.
 
     Bad blocks go to `quarantine` (default: `dest` + ".quarantine") with a
-    reason; they are grouped again only when the first pass has counted some.
+    reason; the corpus is grouped again for them only if the first pass saw any.
     `partitions` spreads records over more tasks than the grouping shuffle gives,
-    for an expensive annotator. `_errors` of a plug-in annotator is written next
-    to the record fields; JSON leaves it out of clean records.
+    for an expensive annotator. `ordered` writes records in file order, for the
+    price of a range shuffle. `_errors` of a plug-in annotator is written next to
+    the record fields; JSON leaves it out of clean records.
     """
     lines = scan_lines(spark, src)
     blocks = parse_blocks(group_blocks(lines, keep_unterminated, max_block_bytes))
-    counts = Observation()
-    counted = blocks.observe(
-        counts, F.count("*").alias("blocks"), F.count("reason").alias("quarantined")
+    seen = Observation()
+    records = (
+        blocks.observe(seen, F.count("reason").alias("rejected"))
+        .filter("reason IS NULL")
+        .select(*KEYS, "id", "tags", "texts")
     )
-    records = counted.filter("reason IS NULL").select("path", "block_no", "id", "tags", "texts")
-    if partitions:
+    # A plug-in and the shape rules keep the order of their input, re-nesting does not.
+    if ordered and lexicon is None:
+        records = _in_file_order(records, partitions)
+    elif partitions:
         records = records.repartition(partitions)
 
     schema = RECORD_SCHEMA
     if annotator is None:
-        annotated = annotate(records, lexicon)
+        annotated = annotate(records, lexicon, KEYS)
     else:
         annotated = annotate_with(records, annotator)
         schema = T.StructType([*RECORD_SCHEMA.fields, T.StructField("_errors", ERRORS_TYPE)])
-    typed = enforce_schema(annotated.drop("path", "block_no"), schema)
+    if ordered and lexicon is not None:
+        annotated = _in_file_order(annotated, partitions)
+    typed = enforce_schema(annotated.drop(*KEYS), schema)
 
     with shuffle_width(spark, lines):
-        write_records(typed, dest, fmt)
-        result = counts.get
+        written = _write_counted(typed, dest, fmt)
         rejected = spark.createDataFrame([], QUARANTINE_SCHEMA)
-        if result["quarantined"]:
+        # Upstream of a shuffle a metric can count a row twice, when a stage is
+        # sampled or run again, but it cannot miss one.
+        if seen.get["rejected"]:
             rejected = quarantined(blocks, oversize_lines(lines, max_block_bytes))
-        write_records(rejected, quarantine or f"{dest.rstrip('/')}.quarantine", fmt)
-    return {"records": result["blocks"] - result["quarantined"], **result}
+        set_aside = _write_counted(rejected, quarantine or f"{dest.rstrip('/')}.quarantine", fmt)
+    return {"records": written, "quarantined": set_aside}
+
+
+def _in_file_order(df: DataFrame, partitions: int | None) -> DataFrame:
+    if partitions:
+        return df.repartitionByRange(partitions, *KEYS).sortWithinPartitions(*KEYS)
+    return df.orderBy(*KEYS)
+
+
+def _write_counted(df: DataFrame, dest: str, fmt: str) -> int:
+    """Write, and count in the tasks that write, where a retry is not counted again."""
+    rows = Observation()
+    write_records(df.observe(rows, F.count("*").alias("n")), dest, fmt)
+    return rows.get["n"]
 
 
 def quarantined(parsed: DataFrame, large: DataFrame) -> DataFrame:
@@ -108,6 +132,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--quarantine")
     parser.add_argument("--lexicon", help="parquet table with form, lemma, pos1, pos2")
     parser.add_argument("--partitions", type=int)
+    parser.add_argument("--ordered", action="store_true", help="write records in file order")
     parser.add_argument("--drop-unterminated", action="store_true")
     args = parser.parse_args(argv)
 
@@ -121,6 +146,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         lexicon=spark.read.parquet(args.lexicon) if args.lexicon else None,
         keep_unterminated=not args.drop_unterminated,
         partitions=args.partitions,
+        ordered=args.ordered,
     )
     print(counts)
 
