@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-# A Spark row cannot exceed 2 GiB and a record is one row.
-MAX_BLOCK_BYTES = 512 * 1024 * 1024
+# A Spark row cannot exceed 2 GiB, and a block is one row with some overhead per line.
+MAX_BLOCK_BYTES = 256 * 1024 * 1024
 
 
 def group_blocks(
@@ -20,7 +20,8 @@ def group_blocks(
     """`scan_lines` output -> one row per non-empty block.
 
     Columns: `path`; `block_no`, increasing in file order, with gaps where blank
-    lines repeat; `lines`; `valid`, false when a line was not UTF-8; `oversize`.
+    lines repeat; `lines`; `bytes` of text; `valid`, false when a line was not
+    UTF-8; `oversize`.
 
     `keep_unterminated=False` leaves out a last block that no blank line follows.
     A block for which the file splits it fills from end to end hold more than
@@ -37,10 +38,11 @@ def group_blocks(
         placed.groupBy("path", "block_no")
         .agg(
             F.sort_array(F.collect_list(entry)).alias("entries"),
+            F.sum(F.octet_length("line")).alias("bytes"),
             F.min("valid").alias("valid"),
             F.max("oversize").alias("oversize"),
         )
-        .select("path", "block_no", F.col("entries.line").alias("lines"), "valid", "oversize")
+        .select("path", "block_no", F.col("entries.line").alias("lines"), "bytes", "valid", "oversize")
     )
 
 

@@ -7,7 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from glossmill.functions.text import split_tags
 
 
-def parse_blocks(blocks: DataFrame) -> DataFrame:
+# Four token arrays take about 15 times the bytes of the text, and must fit in a row of 2 GiB.
+MAX_RECORD_BYTES = 64 * 1024 * 1024
+
+
+def parse_blocks(blocks: DataFrame, max_record_bytes: int = MAX_RECORD_BYTES) -> DataFrame:
     """`group_blocks` output -> `id` (line 1), `tags` (line 2), `texts` (the rest).
 
     `reason` is NULL for a good record. Otherwise it says why the block belongs
@@ -18,6 +22,7 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
         F.when(F.col("oversize"), "oversize_block")
         .when(~F.col("valid"), "invalid_utf8")
         .when(F.size(lines) < 2, "missing_tags")
+        .when(F.col("bytes") > max_record_bytes, "oversize_record")
     )
     return blocks.withColumns(
         {

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from glossmill.operators.annotate import ERRORS_TYPE, Annotator, annotate, annotate_with
 from glossmill.operators.blocks import MAX_BLOCK_BYTES, group_blocks, oversize_lines
-from glossmill.operators.parse import parse_blocks
+from glossmill.operators.parse import MAX_RECORD_BYTES, parse_blocks
 from glossmill.operators.typed import enforce_schema, fill_missing
 from glossmill.schemas import QUARANTINE_SCHEMA, RECORD_SCHEMA
 from glossmill.session import get_session
@@ -35,6 +35,7 @@ def ingest(
     annotator: Callable[[], Annotator] | None = None,
     keep_unterminated: bool = True,
     max_block_bytes: int = MAX_BLOCK_BYTES,
+    max_record_bytes: int = MAX_RECORD_BYTES,
     partitions: int | None = None,
     ordered: bool = False,
 ) -> dict[str, int]:
@@ -48,7 +49,7 @@ def ingest(
     the record fields; JSON leaves it out of clean records.
     """
     lines = scan_lines(spark, src)
-    blocks = parse_blocks(group_blocks(lines, keep_unterminated, max_block_bytes))
+    blocks = parse_blocks(group_blocks(lines, keep_unterminated, max_block_bytes), max_record_bytes)
     seen = Observation()
     records = (
         blocks.observe(seen, F.count("reason").alias("rejected"))

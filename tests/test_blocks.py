@@ -147,6 +147,15 @@ def test_parse(spark, tmp_path):
     ]
 
 
+def test_record_too_large_to_annotate_is_quarantined_whole(spark, tmp_path):
+    path = write(tmp_path / "a.txt", "id1\nt\nabc\n\nid2\nt\né\n\n")
+    parsed = parse_blocks(group_blocks(scan_lines(spark, path)), max_record_bytes=6).orderBy("block_no")
+    assert [(r.id, r.bytes, r.reason, r.lines[2]) for r in parsed.collect()] == [
+        ("id1", 7, "oversize_record", "abc"),
+        ("id2", 6, None, "é"),
+    ]
+
+
 def test_write_blocks_round_trip(spark, tmp_path):
     blocks = [[f"id{i}", "t", *(f"s{j}" for j in range(i))] for i in range(5)]
     df = spark.createDataFrame([(b,) for b in blocks], "lines array<string>")
