@@ -169,26 +169,27 @@ def annotate_with(
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index("texts"))
             texts = lists.flatten()
-            done = []
+            parts, messages = [], []
             for start in range(0, len(texts), batch_size):
-                done += many(texts.slice(start, batch_size).to_pylist())
+                part = texts.slice(start, batch_size)
+                done = many(part.to_pylist())
+                # Into Arrow at once: Python strings take many times the memory.
+                arrays = [pa.array([r.get(f) for r, _ in done], type=strings) for f in fields]
+                parts.append(pa.StructArray.from_arrays([part, *arrays], names=["text", *fields]))
+                messages += [error for _, error in done]
 
-            values = pa.StructArray.from_arrays(
-                [texts.cast(pa.string())]
-                + [pa.array([r.get(f) for r, _ in done], type=strings) for f in fields],
-                names=["text", *fields],
-            )
-            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_pylist()
             offsets, errors = [0], []
-            for length in lengths:
+            for length in pc.fill_null(pc.list_value_length(lists), 0).to_pylist():
                 begin = offsets[-1]
                 offsets.append(begin + length)
                 found = [
                     {"sent_pos": i, "error": error}
-                    for i, (_, error) in enumerate(done[begin : begin + length])
+                    for i, error in enumerate(messages[begin : begin + length])
                     if error is not None
                 ]
                 errors.append(found or None)
+            struct_type = pa.struct([("text", pa.string()), *[(f, strings) for f in fields]])
+            values = pa.concat_arrays(parts) if parts else pa.array([], type=struct_type)
             sentences = pa.ListArray.from_arrays(
                 pa.array(offsets, type=pa.int32()), values, mask=pc.is_null(lists)
             )

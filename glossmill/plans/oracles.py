@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from glossmill.functions.text import PUNCTUATION_TAGS, TOKEN_RULE, WHITESPACE
 
 
@@ -50,6 +52,9 @@ _POS2 = (
 
 # The plug-in annotator over conversations, and the lexicon counted from it.
 _PROPER = r"tok_pos > 0 AND regexp_matches(token, '^\p{Lu}')"
+_PLUGGED = f"""plugged AS (
+  SELECT *, lower(token) AS lemma, CASE WHEN {_PROPER} THEN 'NNP' ELSE 'XX' END AS pos2,
+    CASE WHEN tok_pos = 0 THEN 'ROOT' ELSE 'dep' END AS dep FROM toks)"""
 _TURNS = f"""turns AS (
   SELECT conv_id, turn, CAST(generate_subscripts(ls, 1) - 1 AS BIGINT) AS sent_pos, unnest(ls) AS text
   FROM (SELECT conv_id, turn, {_lines('text')} AS ls FROM conversations)),
@@ -81,13 +86,17 @@ def _annotation(tokens: str, sentences: str, keys: str, dep: str) -> str:
 FROM {tokens} JOIN {sentences} USING ({keys}, sent_pos) GROUP BY {keys}, sent_pos, text"""
 
 
-def _records(tokens: str, extra: str = "") -> str:
+def _records(tokens: str, arrays: Sequence[tuple[str, str]] = ()) -> str:
+    """Records of all documents, with arrays given as (result column, token column)."""
+    extra = "".join(f", {name}" for name, _ in arrays)
+    joined = "".join(
+        f", string_agg({source}, chr(1) ORDER BY sent_pos, tok_pos) AS {name}"
+        for name, source in [("tokens", "token"), *arrays]
+    )
     return f"""SELECT id, array_to_string(tags, chr(1)) AS tags, CAST(len(texts) AS BIGINT) AS n_sentences,
   coalesce(n_tokens, 0) AS n_tokens, array_to_string(texts, chr(1)) AS texts, coalesce(tokens, '') AS tokens {extra}
 FROM docs LEFT JOIN (
-  SELECT id, count(*) AS n_tokens, string_agg(token, chr(1) ORDER BY sent_pos, tok_pos) AS tokens,
-    string_agg(lemma, chr(1) ORDER BY sent_pos, tok_pos) AS lemmas
-  FROM {tokens} GROUP BY id) USING (id)"""
+  SELECT id, count(*) AS n_tokens{joined} FROM {tokens} GROUP BY id) USING (id)"""
 
 
 _BASE = f"WITH {_DOCS}, {_SENTS}, {_TOKS}"
@@ -99,6 +108,7 @@ ORACLES: dict[str, str] = {
 SELECT line, true AS valid, count(*) AS n FROM (
   SELECT unnest([id, array_to_string(tags, ' '), ''] || texts) AS line FROM docs) GROUP BY line""",
     "split_lines": f"WITH {_DOCS}, {_SENTS} SELECT id, sent_pos AS pos, text FROM sents",
+    "distribute": "SELECT o_orderkey, o_orderpriority FROM orders",
     "group_blocks": f"""WITH {_DOCS}, blocks AS (
   SELECT id, [id, array_to_string(tags, ' ')] || texts AS lines FROM docs)
 SELECT id, CAST(len(lines) AS BIGINT) AS n_lines, array_to_string(lines, chr(1)) AS block FROM blocks""",
@@ -142,6 +152,7 @@ SELECT event_id,
 SELECT id, sent_pos, string_agg(lemma, chr(1) ORDER BY tok_pos) AS lemma, true AS dep_is_null
 FROM shaped GROUP BY id, sent_pos""",
     "ingest": _ROUND_TRIP,
-    "ingest_lexicon": f"{_BASE}, {_LEXICON}, {_TAGGED} {_records('tagged', ', lemmas')}",
+    "ingest_lexicon": f"{_BASE}, {_LEXICON}, {_TAGGED} {_records('tagged', [('lemmas', 'lemma')])}",
+    "ingest_plugin": f"{_BASE}, {_PLUGGED} {_records('plugged', [('pos2', 'pos2'), ('deps', 'dep')])}",
     "ingest_ragged": f"WITH {_DOCS} SELECT id, {_RAGGED_STATUS} AS status FROM docs",
 }

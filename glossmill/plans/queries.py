@@ -190,6 +190,11 @@ def split_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sentences(spark, sf_dir).select("id", F.col("sent_pos").cast("bigint").alias("pos"), "text")
 
 
+def distribute_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    return distribute(orders, 16)
+
+
 def split_tags_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = explode_with_position(_documents(spark, sf_dir), ["id"], F.col("tags"), "pos", "tag")
     return tags.withColumn("pos", F.col("pos").cast("bigint"))
@@ -376,6 +381,16 @@ def ingest_lexicon_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(*_record_columns(), _joined(lemmas).alias("lemmas"))
 
 
+def ingest_plugin_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A plug-in annotator fills `dep`, on more tasks than the grouping shuffle has."""
+    records = _ingested(
+        spark, _text_corpus(spark, sf_dir), annotator=capital_annotator(), partitions=16
+    )
+    deps = F.flatten(F.transform("sentences", lambda s: s["dep"]))
+    tags = F.flatten(F.transform("sentences", lambda s: s["pos2"]))
+    return records.select(*_record_columns(), _joined(tags).alias("pos2"), _joined(deps).alias("deps"))
+
+
 def ingest_ragged_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records and quarantined blocks of one run, together."""
     dest = shared_path(spark, "ingested")
@@ -388,6 +403,7 @@ def ingest_ragged_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "scan_lines": scan_lines_query,
     "split_lines": split_lines_query,
+    "distribute": distribute_query,
     "group_blocks": group_blocks_query,
     "parse_blocks": parse_blocks_query,
     "quarantine": quarantine_query,
@@ -411,5 +427,6 @@ QUERIES: dict[str, Query] = {
     "read_back": read_back_query,
     "ingest": ingest_query,
     "ingest_lexicon": ingest_lexicon_query,
+    "ingest_plugin": ingest_plugin_query,
     "ingest_ragged": ingest_ragged_query,
 }

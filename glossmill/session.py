@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -39,8 +40,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
     That is the folder `spark.checkpoint.dir` names. Only where it is unset,
     as in a local test session, a temporary folder takes its place.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="glossmill-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _temporary_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@lru_cache(maxsize=None)
+def _temporary_folder() -> str:
+    return tempfile.mkdtemp(prefix="glossmill-")

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F, types as T
@@ -165,3 +167,13 @@ def test_shared_path_is_in_the_checkpoint_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_path(spark, "x"), shared_path(spark, "x")
     assert first != second and first.startswith(f"{base}/x-")
+
+
+def test_shared_path_without_a_checkpoint_folder():
+    class Unset:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    first, second = shared_path(Unset, "x"), shared_path(Unset, "x")
+    assert first != second and os.path.isdir(os.path.dirname(first))
+    assert os.path.dirname(first) == os.path.dirname(second)
