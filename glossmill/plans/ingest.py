@@ -23,6 +23,11 @@ DEFAULT_DEST = "/data/test.json"
 
 KEYS = ("path", "block_no")
 
+# Every map task keeps an index entry per shuffle partition and the second shuffle
+# has a block per pair of partitions, so the width cannot follow the input for ever.
+# 100 TB in 20,000 partitions is 5 GB each, which sorts with spilling.
+MAX_WIDTH = 20_000
+
 
 def ingest(
     spark: SparkSession,
@@ -110,14 +115,15 @@ def quarantined(parsed: DataFrame, large: DataFrame) -> DataFrame:
 
 @contextmanager
 def shuffle_width(spark: SparkSession, lines: DataFrame) -> Iterator[None]:
-    """Give shuffles at least one partition per file split while a job runs.
+    """Give shuffles about one partition per file split while a job runs.
 
     Adaptive execution merges small shuffle partitions but never adds any, so
-    the default of 200 would make partitions of hundreds of GB from a large input.
+    the default of 200 would make partitions of hundreds of GB from a large
+    input. A session that asks for more than this keeps its setting.
     """
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(max(int(before), lines.rdd.getNumPartitions())))
+    spark.conf.set(key, str(max(int(before), min(lines.rdd.getNumPartitions(), MAX_WIDTH))))
     try:
         yield
     finally:

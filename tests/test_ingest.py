@@ -3,8 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from glossmill import RECORD_SCHEMA, ingest, read_records
-from glossmill.plans.ingest import main
+from glossmill import RECORD_SCHEMA, ingest, read_records, scan_lines
+from glossmill.plans.ingest import main, shuffle_width
 from tests.model import records_of
 from tests.test_blocks import random_text, write
 
@@ -42,11 +42,22 @@ def test_records_in_file_order(spark, corpus, tmp_path, conf, partitions, with_l
     assert [r["id"] for r in rows] == [r[0] for r in records_of(corpus)]
 
 
-def test_shuffle_width_follows_the_splits_and_is_restored(spark, corpus, tmp_path, conf):
+def test_shuffle_width_follows_the_splits_and_is_restored(spark, corpus, conf, monkeypatch):
+    key = "spark.sql.shuffle.partitions"
     conf("spark.sql.files.maxPartitionBytes", "1000")
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    ingest(spark, corpus, str(tmp_path / "out"))
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    before = spark.conf.get(key)
+    lines = scan_lines(spark, corpus)
+    splits = lines.select("split").distinct().count()
+    assert splits > 20
+    with shuffle_width(spark, lines):
+        assert int(spark.conf.get(key)) >= 20
+    monkeypatch.setattr("glossmill.plans.ingest.MAX_WIDTH", 9)
+    with shuffle_width(spark, lines):
+        assert spark.conf.get(key) == "9"
+    conf(key, "300")
+    with shuffle_width(spark, lines):
+        assert spark.conf.get(key) == "300"
+    conf(key, before)
 
 
 def test_bad_blocks_are_quarantined_and_nothing_is_lost(spark, tmp_path, conf):
