@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def json_field_or_null(text: Column, path: str, type_name: str) -> Column:
-    """A field of a JSON string, NULL when the string or the value is unusable."""
-    return F.try_variant_get(F.try_parse_json(text), path, type_name)
-
-
-def json_error(text: Column) -> Column:
-    """Why `json_field_or_null` found no document; NULL when it did."""
-    return (
-        F.when(text.isNull(), "null_input")
-        .when(F.try_parse_json(text).isNull(), "invalid_json")
-        .otherwise(F.lit(None).cast("string"))
-    )
+def json_or_null(text: Column) -> Column:
+    """A JSON string as a VARIANT, NULL when it does not parse."""
+    return F.try_parse_json(text)
+
+
+def field_or_null(document: Column, path: str, type_name: str) -> Column:
+    """A field of a VARIANT, NULL when it is absent or of another type."""
+    return F.try_variant_get(document, path, type_name)
+
+
+def json_error(text: Column, document: Column) -> Column:
+    """Why `document`, the result of `json_or_null(text)`, is NULL; NULL when it is not."""
+    return F.when(text.isNull(), "null_input").when(document.isNull(), "invalid_json")

@@ -11,7 +11,7 @@ from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from glossmill.functions.safe import json_error, json_field_or_null
+from glossmill.functions.safe import field_or_null, json_error, json_or_null
 from glossmill.functions.text import (
     TOKEN_RULE,
     explode_with_position,
@@ -314,14 +314,12 @@ def default_missing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def safe_parse_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Error events have lost the end of their properties.
     cut = F.expr("CASE WHEN event_type = 'error' THEN left(props, length(props) - 1) ELSE props END")
-    return (
-        _table(spark, sf_dir, "events")
-        .select("event_id", cut.alias("props"))
-        .select(
-            "event_id",
-            json_field_or_null(F.col("props"), "$.k", "bigint").cast("string").alias("k"),
-            json_error(F.col("props")).alias("error"),
-        )
+    events = _table(spark, sf_dir, "events").select("event_id", cut.alias("props"))
+    parsed = events.withColumn("document", json_or_null(F.col("props")))
+    return parsed.select(
+        "event_id",
+        field_or_null(F.col("document"), "$.k", "bigint").cast("string").alias("k"),
+        json_error(F.col("props"), F.col("document")).alias("error"),
     )
 
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from glossmill.functions.safe import json_error, json_field_or_null
+from glossmill.functions.safe import field_or_null, json_error, json_or_null
 from glossmill.functions.text import (
     PUNCTUATION_TAGS,
     WHITESPACE,
@@ -92,11 +92,10 @@ def test_explode_with_position_drops_empty_and_null(spark):
     assert sorted(map(tuple, rows), key=lambda r: r[1]) == [(1, 0, "a"), (1, 1, None)]
 
 
-def test_json_field_or_null(spark):
+def test_json_or_null(spark):
     texts = ['{"k": 1}', '{"k": 1', '{"k": "x"}', "{}", "", None]
-    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
-        json_field_or_null(F.col("t"), "$.k", "bigint"), json_error(F.col("t"))
-    )
+    parsed = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("d", json_or_null(F.col("t")))
+    rows = parsed.select(field_or_null(F.col("d"), "$.k", "bigint"), json_error(F.col("t"), F.col("d")))
     assert [tuple(r) for r in rows.collect()] == [
         (1, None),
         (None, "invalid_json"),
