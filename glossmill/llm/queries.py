@@ -5,9 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-
-from glossmill.llm import decontaminate, mixing, quality, simhash, tokens
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from glossmill.llm import (
+    decontaminate,
+    html,
+    mixing,
+    pii,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    substrings,
+    tokens,
+)
 from glossmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,12 +61,46 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"), 40).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "vslot",
+    )
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), key="test key, not a secret")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.masked(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
     "op3_mixing": op3_mixing,
     "op4_token_files": op4_token_files,
     "op5_simhash": op5_simhash,
+    "op6_sharding": op6_sharding,
+    "op7_html_text": op7_html_text,
+    "op8_pii_surrogates": op8_pii_surrogates,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {}
