@@ -171,9 +171,10 @@ def with_entities(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def entities(docs: DataFrame) -> DataFrame:
-    """The distinct `kind, entity` of `docs(text)`."""
+    """The distinct `kind, entity` of `docs(text)`, written, so that texts are searched once."""
     found = with_entities(docs.select("text")).select(F.explode_outer("_found").alias("e"))
-    return found.select("e.kind", "e.entity").filter("kind IS NOT NULL").distinct()
+    found = found.select("e.kind", "e.entity").filter("kind IS NOT NULL").distinct()
+    return saved(found, "entities")
 
 
 def redrawn(found: DataFrame, key: str) -> DataFrame:
