@@ -139,7 +139,7 @@ def _batch(out: list[list[np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["d", "t", "at", "k", "c"])
 
 
-def _packed_texts(rows: DataFrame, extra: str = "") -> DataFrame:
+def _packed_texts(rows: DataFrame) -> DataFrame:
     """Texts compressed for the shuffles that bring them to their segments."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -293,7 +293,8 @@ def repeated_spans(rows: DataFrame, max_segments: int = MAX_SEGMENTS) -> DataFra
     """`d, t, spans` (byte ranges, ends excluded) of rows with strings that occur elsewhere."""
     found = anchored(rows)
     again = found.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1").select("k")
-    kept = saved(found.join(again, "k"), "suffixes")
+    # From a table, so that the join deals both sides itself and can split a frequent gram.
+    kept = saved(found.join(saved(again, "repeated-grams"), "k"), "suffixes")
     # One of each kind of segment; m of them exist.
     kinds = kept.groupBy("k", "c").agg(F.count("*").alias("m"), F.min(F.struct("d", "t", "at")).alias("one"))
     chosen = kinds.select("one.*", "k", "c", "m")
