@@ -71,7 +71,7 @@ def described(findings: DataFrame) -> DataFrame:
         "lower_ratio": _share(v, "[a-z]"),
         "other_ratio": _share(v, "[^A-Za-z0-9]"),
         "change_ratio": _share(v, change),
-        "distinct_ratio": F.size(F.array_distinct(F.split(F.substring(v, 1, 64), ""))) / F.least(F.length(v), F.lit(64)),
+        "distinct_ratio": F.size(F.array_distinct(F.split(F.substring(v, 1, 64), ""))) / F.least(F.greatest(F.length(v), F.lit(1)), F.lit(64)),
         "dictionary_ratio": 1 - F.length(F.regexp_replace(F.lower(v), DICTIONARY, "")) / F.greatest(F.length(v), F.lit(1)),
         "vowel_ratio": _share(F.lower(v), "[aeiou]"),
         "is_hex": flag(v.rlike(r"\A(?:[0-9a-f]++|[0-9A-F]++)\z")),
