@@ -13,12 +13,17 @@ only files of tasks that succeeded, so a task that runs again leaves no trace.
 
 from __future__ import annotations
 
+import json
+import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -30,36 +35,103 @@ from glossmill.session import shared_path
 END_ID = 1
 SEQUENCE = 2048
 BATCH_SEQUENCES = 128
-CACHED_WORDS = 400_000
+#: Bound of each of the two caches of a worker, of words and of pieces of words.
+CACHED = 400_000
 MANIFEST = "part int, file string, n_docs long, n_ids long"
 
+#: How the lower-casing vocabulary normalises and cuts texts.
+LOWER_CASING = ["NFC", "Replace", "Lowercase"]
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Words of these characters alone need no normalising but lower case.
+PLAIN = "".join(map(chr, [*range(0x21, 0x7F), *range(0xA1, 0x100)]))
+
 
 class Encoder:
-    """Encodes texts word by word, with the ids of words seen before kept.
+    """Encodes texts word by word, with the ids of words and of their pieces kept.
 
-    The vocabulary's own rules never join characters across a blank or a line feed,
-    so ids of the pieces between them are the ids of the text. `word_wise=False`
-    encodes whole texts, for vocabularies of which that is not true.
+    Characters are never joined across a blank or a line feed, so the ids of the words
+    between them are the ids of the text; `word_wise=False` encodes whole texts, for
+    vocabularies of which that is not true. Words of plain characters are cut here as a
+    lower-casing vocabulary says it cuts them, and their pieces go to its merges; all
+    other words, and all words of other vocabularies, go through the whole library.
     """
 
     def __init__(self, definition: str, word_wise: bool = True):
         self.tokenizer = Tokenizer.from_str(definition)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.word_wise = word_wise
-        self.known: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
+        self.cut = regex.compile(PIECES).findall if _cuts_as_expected(json.loads(definition)) else None
+        special = {t.content[:1] for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.plain = re.compile(f"[{re.escape(''.join(c for c in PLAIN if c not in special))}]+").fullmatch
+        self.as_bytes = str.maketrans({chr(i): _byte_letters(chr(i)) for i in range(256)})
 
     def encode(self, text: str) -> np.ndarray:
         if not self.word_wise:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
         words = text.replace("\n", " ").split(" ")
-        new = list(set(words).difference(self.known))
-        if new:
-            for word, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self.known[word] = np.array(e.ids, self.dtype).tobytes()
-        ids = np.frombuffer(b"".join(map(self.known.__getitem__, words)), self.dtype)
-        if len(self.known) > CACHED_WORDS:
-            self.known = {"": b""}
-        return ids
+        known, more = self.words, {}
+        for word in set(words).difference(known):
+            (known if len(known) < CACHED else more)[word] = self._word(word)
+        if more:
+            ids = [more[w] if x is None else x for w, x in zip(words, map(known.get, words))]
+        else:
+            ids = map(known.__getitem__, words)
+        return np.frombuffer(b"".join(ids), self.dtype)
+
+    def _word(self, word: str) -> bytes:
+        if self.cut is None or not self.plain(word):
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            return np.array(ids, self.dtype).tobytes()
+        out = []
+        for piece in self.cut(word.lower()):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                found = self.tokenizer.model.tokenize(piece.translate(self.as_bytes))
+                ids = struct.pack(f"<{len(found)}{self.code}", *[t.id for t in found])
+                if len(self.pieces) < CACHED:
+                    self.pieces[piece] = ids
+            out.append(ids)
+        return b"".join(out)
+
+
+def _cuts_as_expected(definition: dict) -> bool:
+    """Whether a vocabulary normalises and cuts texts as `Encoder._word` does."""
+    normalizers = (definition.get("normalizer") or {}).get("normalizers", [])
+    steps = (definition.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return (
+        [n["type"] for n in normalizers] == LOWER_CASING
+        and normalizers[1]["pattern"] == {"Regex": r"\s+"}
+        and normalizers[1]["content"] == " "
+        and [s["type"] for s in steps] == ["Split", "ByteLevel"]
+        and steps[0]["pattern"] == {"Regex": PIECES}
+        and (steps[0]["behavior"], steps[0]["invert"]) == ("Removed", True)
+        and (steps[1]["add_prefix_space"], steps[1]["use_regex"]) == (False, False)
+        and definition["model"]["type"] == "BPE"
+    )
+
+
+@lru_cache(maxsize=1)
+def _letters_of_bytes() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies.
+
+    Printable bytes stand for themselves, the others for letters from 256 on.
+    """
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
+def _byte_letters(char: str) -> str:
+    return "".join(_letters_of_bytes()[b] for b in char.encode())
+
+
+@lru_cache(maxsize=2)
+def _encoder(definition: str, word_wise: bool) -> Encoder:
+    """One encoder per worker process, so that its caches serve all its tasks."""
+    return Encoder(definition, word_wise)
 
 
 class Writer:
@@ -124,7 +196,7 @@ def write_tokens(
     rows = rows.repartitionByRange(*names).sortWithinPartitions(*names).select("_id", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(definition.value, word_wise)
+        encoder = _encoder(definition.value, word_wise)
         part = TaskContext.get().partitionId()
         store, folder = pafs.FileSystem.from_uri(dest)
         store.create_dir(folder, recursive=True)
