@@ -18,3 +18,11 @@ def field_or_null(document: Column, path: str, type_name: str) -> Column:
 def json_error(text: Column, document: Column) -> Column:
     """Why `document`, the result of `json_or_null(text)`, is NULL; NULL when it is not."""
     return F.when(text.isNull(), "null_input").when(document.isNull(), "invalid_json")
+
+
+def field_error(document: Column, path: str, type_name: str) -> Column:
+    """Why `field_or_null` gives NULL for a document that parsed: `absent` or `wrong_type`."""
+    return F.when(
+        document.isNotNull() & F.try_variant_get(document, path, type_name).isNull(),
+        F.when(F.try_variant_get(document, path, "variant").isNull(), "absent").otherwise("wrong_type"),
+    )

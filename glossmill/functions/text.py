@@ -17,11 +17,12 @@ WHITESPACE_CLASS = r"(?U)[\s\x1c-\x1f\x85]"
 
 # Runs of line ends, and the token rule. A token is a word with inner
 # apostrophes, a number with inner points or commas, or one other character that
-# is not whitespace.
+# is not whitespace. Repeats are possessive: other repeats of a group take stack for
+# every round, so a long list of numbers would overflow it.
 LINE_ENDS = r"[\r\n]+"
 TOKEN_RULE = (
-    r"[\p{L}\p{M}]+(?:['’][\p{L}]+)*"
-    r"|\p{N}+(?:[.,]\p{N}+)*"
+    r"[\p{L}\p{M}]++(?:['’][\p{L}]++)*+"
+    r"|\p{N}++(?:[.,]\p{N}++)*+"
     "|[^\\s\x0b\x1c-\x1f\x85\\p{Z}\\p{L}\\p{M}\\p{N}]"
 )
 

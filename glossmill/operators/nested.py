@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from glossmill.functions.text import explode_with_position
-from glossmill.operators.blocks import MAX_BLOCK_BYTES
 from glossmill.schemas import TOKEN_FIELDS
 
 
+# A row cannot exceed 2 GiB; a group of more than this is several rows.
+MAX_PART_BYTES = 256 * 1024 * 1024
+# What an entry takes besides its text.
+ENTRY_BYTES = 48
+
+
 def nest_children(
     children: DataFrame,
     keys: Sequence[str],
@@ -18,30 +23,34 @@ def nest_children(
     fields: Sequence[str],
     into: str,
     parents: DataFrame | None = None,
-    max_group_bytes: int | None = MAX_BLOCK_BYTES,
+    max_part_bytes: int = MAX_PART_BYTES,
 ) -> DataFrame:
     """One row per key with its children, in `order`, as an array of structs `into`.
 
-    With `parents` (one row per key) a parent without children gets an empty
-    array. A group whose string fields hold more than `max_group_bytes` cannot
-    be one row: it is marked `oversize`, has an empty array, and its rows come
-    from `oversize_children`. `None` leaves the check out for groups that are
-    known to be small.
+    With `parents` (one row per key) a parent without children gets an empty array.
+    A group larger than `max_part_bytes` is several rows, numbered by `part` from 0 in
+    `order`; `part` is NULL for whole groups. No child is left out, and only a child
+    that alone is too large makes a larger part. One shuffle places the groups; a
+    task walks a large group in order, from disk where it must, and holds one part.
     """
     keys = list(keys)
-    entry = F.struct(order, *fields)
-    if max_group_bytes is None:
-        marked = children.withColumn("oversize", F.lit(False))
-    else:
-        large = _large_groups(children, keys, fields, max_group_bytes)
-        marked = children.join(large, keys, "left").withColumn("oversize", F.col("_large").isNotNull())
-    # Rows of a large group collapse to one short row per map task.
-    nested = (
-        marked.groupBy(*keys)
-        .agg(
-            F.sort_array(F.collect_list(F.when(~F.col("oversize"), entry))).alias("_children"),
-            F.max("oversize").alias("oversize"),
+    entry = F.struct(F.col(order).alias("_order"), *fields)
+    in_group = W.partitionBy(*keys)
+    before = in_group.orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    size = sum((_bytes(f) for f in fields), F.lit(ENTRY_BYTES)).cast("long")
+    placed = (
+        children.withColumn("_size", size)
+        .withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0).cast("long")))
+        .withColumn("_total", F.sum("_size").over(in_group))
+        .withColumn(
+            "part", F.when(F.col("_total") > max_part_bytes, F.floor(F.col("_before") / max_part_bytes))
         )
+    )
+    # Parts between which a child is larger than a part leave gaps; the numbers then close up.
+    nested = (
+        placed.groupBy(*keys, "part")
+        .agg(F.sort_array(F.collect_list(entry)).alias("_children"))
+        .withColumn("part", F.when(F.col("part").isNotNull(), F.dense_rank().over(in_group.orderBy("part")) - 1))
         .withColumn(
             into, F.transform("_children", lambda c: F.struct(*[c[f].alias(f) for f in fields]))
         )
@@ -49,36 +58,13 @@ def nest_children(
     )
     if parents is None:
         return nested
-    return (
-        parents.join(nested, keys, "left")
-        .withColumn(into, F.coalesce(into, F.array().cast(nested.schema[into].dataType)))
-        .withColumn("oversize", F.coalesce("oversize", F.lit(False)))
-    )
-
-
-def oversize_children(
-    children: DataFrame, keys: Sequence[str], fields: Sequence[str], max_group_bytes: int = MAX_BLOCK_BYTES
-) -> DataFrame:
-    """The rows of the groups that `nest_children` marks as oversize."""
-    large = _large_groups(children, list(keys), fields, max_group_bytes)
-    return children.join(large.select(*keys), list(keys), "left_semi")
-
-
-def _large_groups(
-    children: DataFrame, keys: list[str], fields: Sequence[str], max_group_bytes: int
-) -> DataFrame:
-    """Keys of oversize groups. Bound for the broadcast: total bytes / max_group_bytes rows."""
-    strings = [F.coalesce(F.octet_length(f), F.lit(0)) for f in fields if _is_string(children, f)]
-    size = sum(strings, F.lit(0)).cast("long")
-    return F.broadcast(
-        children.groupBy(*keys)
-        .agg(F.sum(size).alias("_large"))
-        .filter(F.col("_large") > max_group_bytes)
+    return parents.join(nested, keys, "left").withColumn(
+        into, F.coalesce(into, F.array().cast(nested.schema[into].dataType))
     )
 
 
-def _is_string(df: DataFrame, name: str) -> bool:
-    return df.schema[name].dataType.simpleString() == "string"
+def _bytes(field: str) -> Column:
+    return F.coalesce(F.octet_length(F.col(field).cast("string")), F.lit(0))
 
 
 def flatten_sentences(records: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:

@@ -7,23 +7,21 @@ from pyspark.sql import DataFrame, functions as F
 from glossmill.functions.text import split_tags
 
 
-# Four token arrays take about 15 times the bytes of the text, and must fit in a row of 2 GiB.
-MAX_RECORD_BYTES = 64 * 1024 * 1024
-
-
-def parse_blocks(blocks: DataFrame, max_record_bytes: int = MAX_RECORD_BYTES) -> DataFrame:
+def parse_blocks(blocks: DataFrame, max_record_bytes: int | None = None) -> DataFrame:
     """`group_blocks` output -> `id` (line 1), `tags` (line 2), `texts` (the rest).
 
     `reason` is NULL for a good record. Otherwise it says why the block belongs
-    in quarantine, and the block's own columns are still there to be written.
+    in quarantine, and the block's own columns are still there to be written. A block
+    is rejected for its size only if the caller sets `max_record_bytes`.
     """
     lines = F.col("lines")
     reason = (
         F.when(F.col("oversize"), "oversize_block")
         .when(~F.col("valid"), "invalid_utf8")
         .when(F.size(lines) < 2, "missing_tags")
-        .when(F.col("bytes") > max_record_bytes, "oversize_record")
     )
+    if max_record_bytes is not None:
+        reason = reason.when(F.col("bytes") > max_record_bytes, "oversize_record")
     return blocks.withColumns(
         {
             "id": F.try_element_at(lines, F.lit(1)),

@@ -2,29 +2,44 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from glossmill.schemas import RECORD_SCHEMA
 
-# coalesce with a literal is what makes a column non-nullable for the planner.
-_PLACEHOLDER = {
+_PLACEHOLDERS = {
     T.StringType: "",
+    T.BinaryType: b"",
     T.BooleanType: False,
-    T.IntegerType: 0,
-    T.LongType: 0,
-    T.DoubleType: 0.0,
+    T.DateType: datetime.date(1970, 1, 1),
+    T.TimestampType: datetime.datetime(1970, 1, 1),
 }
 
 
+def _placeholder(kind: T.DataType) -> Column:
+    """Any value of a type: coalesce with it is what makes a column non-nullable for the planner."""
+    if isinstance(kind, T.StructType):
+        return F.struct(
+            *[
+                (F.lit(None).cast(f.dataType) if f.nullable else _placeholder(f.dataType)).alias(f.name)
+                for f in kind
+            ]
+        )
+    if isinstance(kind, T.ArrayType):
+        return F.array().cast(kind)
+    if isinstance(kind, T.MapType):
+        return F.create_map().cast(kind)
+    return F.lit(_PLACEHOLDERS[type(kind)] if type(kind) in _PLACEHOLDERS else 0).cast(kind)
+
+
 def enforce_schema(df: DataFrame, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
     """The rows that satisfy `schema`, typed as it says, nullability included.
 
     Rows with a NULL in a required field are left out; `schema_violations` has them.
     """
     good = df.filter(violation(schema).isNull())
-    required = {
-        f.name: F.coalesce(f.name, F.lit(_PLACEHOLDER[type(f.dataType)])) for f in schema if not f.nullable
-    }
+    required = {f.name: F.coalesce(f.name, _placeholder(f.dataType)) for f in schema if not f.nullable}
     return fill_missing(good.withColumns(required) if required else good, schema)
 
 

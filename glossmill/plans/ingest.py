@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from glossmill.operators.annotate import ERRORS_TYPE, Annotator, annotate, annotate_with
 from glossmill.operators.blocks import MAX_BLOCK_BYTES, group_blocks, oversize_lines
-from glossmill.operators.parse import MAX_RECORD_BYTES, parse_blocks
+from glossmill.operators.parse import parse_blocks
 from glossmill.operators.typed import enforce_schema, fill_missing
 from glossmill.schemas import QUARANTINE_SCHEMA, RECORD_SCHEMA
 from glossmill.session import get_session
@@ -40,7 +41,7 @@ def ingest(
     annotator: Callable[[], Annotator] | None = None,
     keep_unterminated: bool = True,
     max_block_bytes: int = MAX_BLOCK_BYTES,
-    max_record_bytes: int = MAX_RECORD_BYTES,
+    max_record_bytes: int | None = None,
     partitions: int | None = None,
     ordered: bool = False,
 ) -> dict[str, int]:
@@ -130,6 +131,11 @@ def shuffle_width(spark: SparkSession, lines: DataFrame) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def _load(name: str) -> Callable[[], Annotator]:
+    module, _, factory = name.partition(":")
+    return getattr(importlib.import_module(module), factory)
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     """Command line of the job, for spark-submit."""
     parser = argparse.ArgumentParser(description="Ingest a text corpus.")
@@ -141,6 +147,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--partitions", type=int)
     parser.add_argument("--ordered", action="store_true", help="write records in file order")
     parser.add_argument("--drop-unterminated", action="store_true")
+    parser.add_argument("--annotator", help="module:factory of a plug-in annotator")
+    parser.add_argument("--max-block-bytes", type=int, default=MAX_BLOCK_BYTES)
+    parser.add_argument("--max-record-bytes", type=int)
     args = parser.parse_args(argv)
 
     spark = get_session("ingest")
@@ -154,6 +163,9 @@ def main(argv: Sequence[str] | None = None) -> None:
         keep_unterminated=not args.drop_unterminated,
         partitions=args.partitions,
         ordered=args.ordered,
+        annotator=_load(args.annotator) if args.annotator else None,
+        max_block_bytes=args.max_block_bytes,
+        max_record_bytes=args.max_record_bytes,
     )
     print(counts)
 

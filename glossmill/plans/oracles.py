@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from glossmill.functions.text import PUNCTUATION_TAGS, TOKEN_RULE, WHITESPACE
+from glossmill.functions.text import PUNCTUATION_TAGS, WHITESPACE
 
 
 def _quoted(text: str) -> str:
@@ -19,7 +19,11 @@ def _lines(column: str) -> str:
     return f"list_filter({stripped}, lambda x: x <> '')"
 
 
-_RULE = _quoted(TOKEN_RULE)
+# The token rule, written out for a matcher without possessive repeats.
+_RULE = _quoted(
+    r"[\p{L}\p{M}]+(?:['’][\p{L}]+)*|\p{N}+(?:[.,]\p{N}+)*"
+    "|[^\\s\x0b\x1c-\x1f\x85\\p{Z}\\p{L}\\p{M}\\p{N}]"
+)
 
 _DOCS = f"""docs AS (
   SELECT CAST(doc_id AS VARCHAR) AS id, [lang, source] AS tags, {_lines('text')} AS texts
@@ -136,6 +140,7 @@ SELECT id, sent_pos, tok_pos, token, lemma, pos1, pos2, CAST(NULL AS VARCHAR) AS
     "nest_under_parents": """SELECT c_custkey, c_name, count(o_orderkey) AS n,
   coalesce(string_agg(o_orderpriority, chr(1) ORDER BY o_orderkey), '') AS priorities
 FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name""",
+    "nest_parts": "SELECT conv_id, turn, role, text FROM conversations",
     "enforce_schema": """SELECT doc_id, CASE WHEN lang <> 'es' THEN CAST(doc_id AS VARCHAR) END AS id,
   CASE WHEN lang <> 'es' THEN 'ok' ELSE 'null_id' END AS status FROM documents""",
     "default_missing": """SELECT doc_id AS id, text, lang FROM documents
@@ -151,6 +156,9 @@ SELECT event_id,
     "read_back": f"""{_BASE}, {_SHAPED}
 SELECT id, sent_pos, string_agg(lemma, chr(1) ORDER BY tok_pos) AS lemma, true AS dep_is_null
 FROM shaped GROUP BY id, sent_pos""",
+    "read_back_corrupt": """SELECT doc_id, CASE WHEN lang = 'fr' THEN 'malformed'
+  WHEN lang = 'de' THEN 'unknown_fields: color' WHEN lang = 'es' THEN 'null_id' ELSE 'ok' END AS status
+FROM documents""",
     "ingest": _ROUND_TRIP,
     "ingest_lexicon": f"{_BASE}, {_LEXICON}, {_TAGGED} {_records('tagged', [('lemmas', 'lemma')])}",
     "ingest_plugin": f"{_BASE}, {_PLUGGED} {_records('plugged', [('pos2', 'pos2'), ('deps', 'dep')])}",

@@ -29,7 +29,7 @@ from glossmill.operators.typed import enforce_schema, fill_missing, schema_viola
 from glossmill.plans.ingest import ingest
 from glossmill.schemas import RECORD_SCHEMA
 from glossmill.session import shared_path
-from glossmill.sources.records import read_records, write_records
+from glossmill.sources.records import read_checked, read_records, write_records
 from glossmill.sources.text import scan_lines, write_blocks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -270,6 +270,13 @@ def nest_sentences_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nest_parts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every child of every part, at a limit that most conversations exceed."""
+    turns = _table(spark, sf_dir, "conversations")
+    nested = nest_children(turns, ["conv_id"], "turn", ["turn", "role", "text"], "turns", max_part_bytes=300)
+    return nested.select("conv_id", F.inline("turns"))
+
+
 def nest_under_parents_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as parents, their orders as children; some have none."""
     orders = _table(spark, sf_dir, "orders").select(
@@ -361,6 +368,25 @@ def read_back_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def read_back_corrupt_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of a JSON file with its status: French ones are cut, German ones have a field more."""
+    schema = T.StructType([T.StructField("id", T.StringType(), False), T.StructField("doc_id", T.LongType())])
+    whole = F.to_json(
+        F.struct(
+            F.when(F.col("lang") != "es", F.col("source")).alias("id"),
+            "doc_id",
+            F.when(F.col("lang") == "de", "red").alias("color"),
+        )
+    )
+    line = F.when(F.col("lang") == "fr", F.regexp_replace(whole, r"\}\z", "")).otherwise(whole)
+    path = shared_path(spark, "corrupt")
+    _table(spark, sf_dir, "documents").select(line).write.text(path)
+    return read_checked(spark, path, schema).select(
+        F.regexp_extract("line", r'"doc_id":(\d+)', 1).cast("bigint").alias("doc_id"),
+        F.coalesce("reason", F.lit("ok")).alias("status"),
+    )
+
+
 def _ingested(spark: SparkSession, src: str, **options: object) -> DataFrame:
     dest = shared_path(spark, "ingested")
     ingest(spark, src, dest, **options)
@@ -416,6 +442,7 @@ QUERIES: dict[str, Query] = {
     "flatten_sentences": flatten_sentences_query,
     "flatten_tokens": flatten_tokens_query,
     "nest_sentences": nest_sentences_query,
+    "nest_parts": nest_parts_query,
     "nest_under_parents": nest_under_parents_query,
     "enforce_schema": enforce_schema_query,
     "default_missing": default_missing_query,
@@ -423,6 +450,7 @@ QUERIES: dict[str, Query] = {
     "json_round_trip": json_round_trip_query,
     "parquet_round_trip": parquet_round_trip_query,
     "read_back": read_back_query,
+    "read_back_corrupt": read_back_corrupt_query,
     "ingest": ingest_query,
     "ingest_lexicon": ingest_lexicon_query,
     "ingest_plugin": ingest_plugin_query,

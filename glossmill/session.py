@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -37,10 +38,16 @@ def pin_split_plan(spark: SparkSession) -> None:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that every executor can reach.
 
-    That is the folder `spark.checkpoint.dir` names. Only where it is unset,
-    as in a local test session, a temporary folder takes its place.
+    That is the folder `spark.checkpoint.dir` names. Only on a local master, as in
+    a test session, a temporary folder takes its place where it is unset: executors
+    of a cluster would each write to their own disk.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _temporary_folder()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all nodes of {master} share")
+        base = _temporary_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from glossmill.operators.typed import violation
 from glossmill.schemas import RECORD_SCHEMA
 
+# A string may be as long as a row; the reader's own limit is 20 million characters.
+_READ_OPTIONS = {"maxStringLen": str(2**31 - 1)}
+
 
 def write_records(df: DataFrame, dest: str, fmt: str = "json") -> None:
     """Overwrite `dest` with a directory of JSON lines, or of another file format."""
@@ -21,4 +25,33 @@ def read_records(
     one loses a field that is NULL in every row and reorders the others. Readers
     make every column nullable; `enforce_schema` checks the values.
     """
-    return spark.read.schema(schema).format(fmt).load(src)
+    return spark.read.schema(schema).options(**_READ_OPTIONS).format(fmt).load(src)
+
+
+def read_checked(spark: SparkSession, src: str, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
+    """JSON lines with a `reason` next to the fields of `schema`, and the raw `line`; no line is lost.
+
+    `reason` is NULL for a good record, else `malformed`, `unknown_fields: ...` for
+    top-level fields that `schema` does not have, or the required field that is NULL.
+    """
+    corrupt = "_malformed"
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+    parsed = F.from_json(
+        "line", nullable.add(corrupt, T.StringType()), {**_READ_OPTIONS, "columnNameOfCorruptRecord": corrupt}
+    )
+    unknown = F.array_except(F.json_object_keys("line"), F.array(*[F.lit(n) for n in schema.names]))
+    reason = (
+        F.when(F.col(corrupt).isNotNull() | unknown.isNull(), "malformed")
+        .when(F.size(unknown) > 0, F.concat(F.lit("unknown_fields: "), F.array_join(unknown, ", ")))
+        .otherwise(violation(schema))
+    )
+    lines = spark.read.text(src).select(F.col("value").alias("line"))
+    rows = lines.withColumn("_parsed", parsed).select("line", "_parsed.*")
+    return rows.withColumn("reason", reason).drop(corrupt)
+
+
+def read_strict(spark: SparkSession, src: str, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
+    """JSON lines of which every one must be a record: the first that is not fails the job, with its reason."""
+    checked = read_checked(spark, src, schema)
+    bad = F.raise_error(F.concat(F.lit("bad record: "), "reason")).cast("boolean")
+    return checked.filter(F.when(F.col("reason").isNull(), F.lit(True)).otherwise(bad)).select(*schema.names)

@@ -17,7 +17,7 @@ from glossmill import (
     schema_violations,
     write_records,
 )
-from glossmill.operators.nested import oversize_children
+from glossmill.sources.records import read_checked, read_strict
 from glossmill.session import get_session, pin_split_plan, shared_path
 
 FULL = ("N1", ["a"], [("x y", ["x", "y"], ["x", "y"], ["X", "X"], ["XX", "XX"], ["d", "e"]), ("", [], [], [], [], [])])
@@ -71,30 +71,66 @@ def test_nest_orders_children(spark):
     assert out == {1: ["a", None, "c", "a"], 2: ["z"]}
 
 
-def test_nest_keeps_the_rows_of_a_giant_group_apart(spark):
+def test_large_groups_are_parts_with_every_child(spark):
+    """NULL keys, groups without strings and children larger than a part included."""
+    rows = [(k, i, [str(i)] * 3, "x" * (700 if i == 40 else 5)) for k in (1, None) for i in range(100)]
+    rows += [(2, 0, None, None), (2, 1, [], "y")]
+    df = spark.createDataFrame(rows, "k long, pos int, a array<string>, text string").repartition(5)
+    nested = nest_children(df, ["k"], "pos", ["pos", "a", "text"], "kids", max_part_bytes=500)
+    found = nested.select("k", "part", F.size("kids").alias("n"), F.inline("kids")).collect()
+    key = lambda r: (r[0] is None, r[0], r[1])
+    assert sorted([(r.k, r.pos, r.a, r.text) for r in found], key=key) == sorted(rows, key=key)
+    for k in (1, None):
+        parts = [r.part for r in sorted(found, key=lambda r: r.pos) if r.k == k]
+        assert parts == sorted(parts) and set(parts) == set(range(max(parts) + 1)) and max(parts) > 5
+    assert {(r.part, r.n) for r in found if r.k == 2} == {(None, 2)}
+
+
+def test_parents_of_parts_and_of_nothing(spark):
     df = spark.range(1000).select(
-        F.when(F.col("id") < 10, F.col("id")).otherwise(99).alias("k"),
-        F.col("id").alias("pos"),
-        F.lit("0123456789").alias("text"),
+        F.when(F.col("id") < 10, F.col("id")).otherwise(99).alias("k"), F.col("id").alias("pos"), F.lit(1).alias("v")
     )
     parents = spark.createDataFrame([(k,) for k in [*range(10), 99, 100]], "k long")
-    nested = nest_children(df, ["k"], "pos", ["text"], "kids", parents, max_group_bytes=500)
-    out = {r.k: (len(r.kids), r.oversize) for r in nested.collect()}
-    assert out == {**{k: (1, False) for k in range(10)}, 99: (0, True), 100: (0, False)}
-    assert oversize_children(df, ["k"], ["text"], 500).count() == 990
-    unchecked = nest_children(df, ["k"], "pos", ["text"], "kids", max_group_bytes=None)
-    assert unchecked.filter("k = 99").select(F.size("kids")).first()[0] == 990
-
-
-def test_nested_giant_group_shuffles_as_few_rows(spark):
-    """All rows of a marked group collapse before the shuffle, whatever the group's share."""
-    df = spark.range(0, 30_000, 1, 3).select(
-        F.lit(1).alias("k"), F.col("id").alias("pos"), F.lit("x" * 50).alias("text")
-    )
-    nested = nest_children(df, ["k"], "pos", ["text"], "kids", max_group_bytes=1000)
-    plan = nested._jdf.queryExecution().executedPlan().toString()
-    assert "partial_collect_list(CASE WHEN" in plan
-    assert [(r.kids, r.oversize) for r in nested.collect()] == [([], True)]
+    nested = nest_children(df, ["k"], "pos", ["v"], "kids", parents, max_part_bytes=5000)
+    n = {r.k: r.n for r in nested.groupBy("k").agg(F.sum(F.size("kids")).alias("n")).collect()}
+    assert n == {**{k: 1 for k in range(10)}, 99: 990, 100: 0}
+
+
+def test_checked_read_keeps_every_line(spark, tmp_path):
+    schema = RECORD_SCHEMA
+    long = "x" * 21_000_000
+    lines = [
+        '{"id":"a","tags":["t"]}',
+        '{"id":"b",',
+        '{"id":"c","colour":1,"size":2}',
+        '{"tags":[]}',
+        "[1]",
+        '{"id":"d","tags":["' + long + '"]}',
+    ]
+    (tmp_path / "r.json").write_text("\n".join(lines))
+    rows = read_checked(spark, str(tmp_path / "r.json"), schema).collect()
+    assert [r.reason for r in sorted(rows, key=lambda r: lines.index(r.line))] == [
+        None,
+        "malformed",
+        "unknown_fields: colour, size",
+        "null_id",
+        "malformed",
+        None,
+    ]
+    assert read_records(spark, str(tmp_path / "r.json")).filter("id = 'd'").first().tags == [long]
+    with pytest.raises(Exception, match="bad record"):
+        read_strict(spark, str(tmp_path / "r.json"), schema).collect()
+    (tmp_path / "good.json").write_text("\n".join([lines[0], lines[5]]))
+    assert sorted(r.id for r in read_strict(spark, str(tmp_path / "good.json"), schema).collect()) == ["a", "d"]
+
+
+def test_required_fields_of_any_type(spark):
+    schema = T.StructType([T.StructField("d", T.DateType(), False), T.StructField("a", T.ArrayType(T.LongType()), False)])
+    schema = schema.add("m", T.DecimalType(9, 2), False).add("t", T.TimestampType(), False)
+    df = spark.sql("SELECT date'2020-01-02' AS d, array(1L) AS a UNION ALL SELECT NULL, array(2L)")
+    df = df.selectExpr("*", "cast(1.5 as decimal(9,2)) as m", "timestamp'2020-01-01' as t")
+    good = enforce_schema(df, schema)
+    assert good.count() == 1 and not good.schema["d"].nullable and not good.schema["a"].nullable
 
 
 @pytest.mark.parametrize("fmt", ["json", "parquet"])
@@ -174,6 +210,21 @@ def test_shared_path_without_a_checkpoint_folder():
         class conf:
             get = staticmethod(lambda key, default: default)
 
+        class sparkContext:
+            master = "local[2]"
+
     first, second = shared_path(Unset, "x"), shared_path(Unset, "x")
     assert first != second and os.path.isdir(os.path.dirname(first))
     assert os.path.dirname(first) == os.path.dirname(second)
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_path(Cluster, "x")

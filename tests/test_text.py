@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from glossmill.functions.safe import field_or_null, json_error, json_or_null
+from glossmill.functions.safe import field_error, field_or_null, json_error, json_or_null
 from glossmill.functions.text import (
     PUNCTUATION_TAGS,
     WHITESPACE,
@@ -104,3 +104,14 @@ def test_json_or_null(spark):
         (None, "invalid_json"),
         (None, "null_input"),
     ]
+
+
+def test_field_error(spark):
+    df = spark.createDataFrame([('{"k": 1}',), ('{"k": "x"}',), ("{}",), ("{",)], "t string")
+    rows = df.select(field_error(json_or_null(F.col("t")), "$.k", "bigint")).collect()
+    assert [r[0] for r in rows] == [None, "wrong_type", "absent", None]
+
+
+def test_long_repeats_do_not_overflow_the_stack(spark):
+    df = spark.createDataFrame([("1," * 100_000,), ("a'" * 100_000,)], "t string")
+    assert [r[0] for r in df.select(F.size(tokens(F.col("t")))).collect()] == [2, 2]
