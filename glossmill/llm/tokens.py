@@ -36,7 +36,7 @@ END_ID = 1
 SEQUENCE = 2048
 BATCH_SEQUENCES = 128
 #: Bound of each of the two caches of a worker, of words and of pieces of words.
-CACHED = 400_000
+CACHED = 200_000
 MANIFEST = "part int, file string, n_docs long, n_ids long"
 
 #: How the lower-casing vocabulary normalises and cuts texts.
