@@ -13,10 +13,11 @@ number; a caller with findings of its own passes them instead.
 from __future__ import annotations
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from glossmill.session import shared_path
+
 #: Begun behind a border and possessive, so time is linear in the text.
 CANDIDATE = r"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z+/_.-]{0,4096}+[0-9])[A-Za-z0-9+/_.-]{16,}+={0,2}"
 N_LABELLED = 6000
@@ -179,11 +180,15 @@ def train(findings: DataFrame, n_trees: int = 24, depth: int = 7, seed: int = 3)
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", numTrees=n_trees, maxDepth=depth, seed=seed, cacheNodeIds=False
     )
-    return forest.fit(_vectors(described(findings)).select("features", "label"))
+    # A stored model leaves its training summary behind, and with it the session, which
+    # cannot go to tasks once the session has observed a metric.
+    path = shared_path(findings.sparkSession, "secret-forest")
+    forest.fit(_vectors(described(findings)).select("features", "label")).save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def _vectors(rows: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
+    return rows.withColumn("features", array_to_vector(F.array(*FEATURES)))
 
 
 def scan(

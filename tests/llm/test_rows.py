@@ -273,3 +273,13 @@ def test_secrets_are_found_and_harmless_tokens_are_not(spark, forest):
 def test_features_are_numbers(spark):
     row = secrets.described(frame(spark, [("", "", "")], "value string, before string, after string")).first()
     assert all(np.isfinite(row[f]) for f in secrets.FEATURES)
+
+
+def test_scan_works_in_a_session_that_has_observed_a_metric(spark, forest):
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    spark.range(5).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get["n"] == 5
+    docs = frame(spark, [(1, "api_key=Zx8Kq2LmP0vR7tYw3Bn5")])
+    secrets.scan(docs, forest).write.format("noop").mode("overwrite").save()
