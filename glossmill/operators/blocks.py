@@ -8,10 +8,16 @@ of all earlier splits of the file. The second level is one row per split.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-# A Spark row cannot exceed 2 GiB, and a block is one row with some overhead per line.
+# A Spark row cannot exceed 2 GiB; a block of more than this is several rows.
 MAX_BLOCK_BYTES = 256 * 1024 * 1024
+# What a line takes besides its text.
+LINE_BYTES = 48
+# Part numbers of one section of a block end where those of the next begin.
+SECTION_STEP = 1_000_000
 
 
 def group_blocks(
@@ -20,84 +26,164 @@ def group_blocks(
     """`scan_lines` output -> one row per non-empty block.
 
     Columns: `path`; `block_no`, increasing in file order, with gaps where blank
-    lines repeat; `lines`; `bytes` of text; `valid`, false when a line was not
-    UTF-8; `oversize`.
+    lines repeat; `part`; `head`, the first two lines of the block, and `head_lines`,
+    how many of them are the first of this row's `lines`; `lines`; `raw`,
+    the bytes of lines that are not UTF-8, in base64 and parallel to `lines` (NULL
+    if all are); `bytes` of text; `valid`, false when a line was not UTF-8.
 
     `keep_unterminated=False` leaves out a last block that no blank line follows.
-    A block for which the file splits it fills from end to end hold more than
-    `max_block_bytes` is kept as a row without lines, marked `oversize`; its
-    lines come from `oversize_lines`.
+    `part` is NULL for a whole block. A block of more than `max_block_bytes` (text
+    and `LINE_BYTES` per line) is several rows, in file order by `part`, whose
+    numbers increase with gaps; together they have every line, and each has the
+    `head`. A part holds at most 1.25 times the limit and one line. No task sees
+    more of a block than about one limit and three file splits.
     """
-    placed = _place_lines(lines, max_block_bytes)
+    pieces = _pieces(lines, max_block_bytes)
     if not keep_unterminated:
-        placed = placed.filter("block_no < blanks_in_file")
-    # collect_list skips the NULL that stands for a line of an oversize block,
-    # so a block of any size shuffles as one short row per map task.
-    entry = F.when(~F.col("oversize"), F.struct("split", "row", "line"))
+        pieces = pieces.filter("block_no < blanks_in_file")
+    # Only the first and the last block of a split can go on in another one. The
+    # others stay where the window put them, so the text is shuffled once.
+    inner = _assemble(pieces.filter("NOT border"), ["path", "split", "block_no", "section"], max_block_bytes)
+    border = _assemble(pieces.filter("border"), ["path", "block_no", "section"], max_block_bytes)
+    return inner.unionByName(border)
+
+
+def _assemble(pieces: DataFrame, keys: Sequence[str], max_block_bytes: int) -> DataFrame:
+    """Pieces of blocks, or of sections of large blocks, -> whole blocks or parts."""
+    # One ordering for all of them, so the pieces are sorted once.
+    in_order = W.partitionBy(*keys).orderBy("split", "piece")
+    earlier = in_order.rowsBetween(W.unboundedPreceding, -1)
+    to_end = in_order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    is_part = (F.col("sections") > 1) | (F.col("total") > max_block_bytes)
+    # Every piece has a line, so the first two lines are in the first two leads.
     return (
-        placed.groupBy("path", "block_no")
+        pieces.withColumn("n_lead", F.array_size("lead"))
+        .withColumns(
+            {
+                "total": F.sum("size").over(to_end),
+                "before": F.coalesce(F.sum("size").over(earlier), F.lit(0)),
+                "head_left": F.greatest(2 - F.coalesce(F.sum("n_lead").over(earlier), F.lit(0)), F.lit(0)),
+                "head1": F.first("lead", ignorenulls=True).over(to_end),
+                "head2": F.nth_value("lead", 2, ignoreNulls=True).over(to_end),
+            }
+        )
+        .filter("entries IS NOT NULL")
+        .withColumn(
+            "part", F.when(is_part, F.col("section") * SECTION_STEP + F.floor(F.col("before") / max_block_bytes))
+        )
+        .groupBy(*keys, "part")
         .agg(
-            F.sort_array(F.collect_list(entry)).alias("entries"),
-            F.sum(F.octet_length("line")).alias("bytes"),
+            F.sort_array(F.collect_list(F.struct("split", "piece", "entries"))).alias("pieces"),
+            F.first("head1").alias("head1"),
+            F.first("head2").alias("head2"),
+            F.max("head_left").alias("head_left"),
+            F.sum("bytes").alias("bytes"),
             F.min("valid").alias("valid"),
-            F.max("oversize").alias("oversize"),
         )
-        .select("path", "block_no", F.col("entries.line").alias("lines"), "bytes", "valid", "oversize")
+        .withColumn("entries", F.flatten("pieces.entries"))
+        .select(
+            "path",
+            "block_no",
+            "part",
+            F.slice(F.concat("head1", F.coalesce("head2", F.array().cast("array<string>"))), 1, 2).alias("head"),
+            F.least("head_left", F.size("entries")).cast("int").alias("head_lines"),
+            F.col("entries.line").alias("lines"),
+            F.when(~F.col("valid"), F.col("entries.raw")).alias("raw"),
+            "bytes",
+            "valid",
+        )
     )
 
 
-def oversize_lines(lines: DataFrame, max_block_bytes: int = MAX_BLOCK_BYTES) -> DataFrame:
-    """The lines of oversize blocks, ungrouped: `path, block_no, split, row, line`."""
-    return (
-        _place_lines(lines, max_block_bytes)
-        .filter("oversize")
-        .select("path", "block_no", "split", "row", "line")
-    )
-
+def _pieces(lines: DataFrame, max_block_bytes: int) -> DataFrame:
+    """The lines that a block has in one split, as pieces of at most a quarter of the limit.
 
-def _place_lines(lines: DataFrame, max_block_bytes: int) -> DataFrame:
-    """Non-blank lines with `block_no`, `oversize` and `blanks_in_file`."""
+    `lead` has the first lines of a piece that may start its block. In a block of
+    several sections such pieces also go to the other sections, without `entries`.
+    """
     in_split = W.partitionBy("path", "split").orderBy("row").rowsBetween(W.unboundedPreceding, 0)
-    splits = _split_table(lines, max_block_bytes)
-    return (
-        # Both scans of the files are cut alike; a split without its row in the
-        # split table would mean lost lines, so it fails the job.
-        lines.withColumn("blanks_before", F.sum(_blank()).over(in_split))
+    piece_bytes = max(max_block_bytes // 4, 1)
+    pieces = (
+        lines.withColumns({"blank": _blank(), "size": _size()})
+        .withColumns(
+            {
+                "local_no": F.sum("blank").over(in_split),
+                "piece": F.floor((F.sum("size").over(in_split) - F.col("size")) / piece_bytes),
+            }
+        )
         .filter("line != ''")
-        .join(splits, ["path", "split"], "left")
-        .withColumn(
-            "block_no",
-            F.coalesce("first_block", F.raise_error(F.lit("file splits changed between scans")))
-            + F.col("blanks_before"),
+        .groupBy("path", "split", "local_no", "piece")
+        .agg(
+            F.sort_array(F.collect_list(F.struct("row", "line", "raw"))).alias("entries"),
+            F.sum("size").alias("size"),
+            F.sum(F.octet_length("line")).alias("bytes"),
+            F.min("valid").alias("valid"),
         )
+    )
+    is_first = F.col("local_no") == 0
+    is_last = F.col("local_no") == F.col("blanks")
+    # Both scans of the files are cut alike; a split without its row in the split
+    # table would mean lost lines, so it fails the job.
+    changed = F.raise_error(F.lit("file splits changed between scans"))
+    placed = (
+        pieces.join(_split_table(lines, max_block_bytes), ["path", "split"], "left")
+        .withColumn("blanks", F.coalesce("blanks", changed))
+        .withColumn("block_no", F.col("first_block") + F.col("local_no"))
+        .withColumn("border", is_first | is_last)
+        .withColumn("section", F.when(is_first, F.col("first_section")).otherwise(0))
         .withColumn(
-            "oversize",
-            (F.col("first_oversize") & (F.col("blanks_before") == 0))
-            | (F.col("last_oversize") & (F.col("blanks_before") == F.col("blanks"))),
+            "sections",
+            F.when(is_first, F.col("first_sections")).when(is_last, F.col("last_sections")).otherwise(1),
         )
+        .withColumn("lead", F.when(~is_first | (F.col("rank") <= 2), F.slice("entries.line", 1, 2)))
+    )
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("sections") - 1), lambda s: s != F.col("section"))
+    go_on = (F.col("sections") > 1) & F.col("lead").isNotNull()
+    copies = F.when(go_on, F.concat(F.array("section"), others)).otherwise(F.array("section"))
+    own = F.col("at") == F.col("section")
+    return (
+        placed.withColumn("at", F.explode(copies))
+        .withColumn("entries", F.when(own, F.col("entries")))
+        .withColumn("size", F.when(own, F.col("size")).otherwise(0))
+        .withColumn("section", F.col("at"))
     )
 
 
 def _split_table(lines: DataFrame, max_block_bytes: int) -> DataFrame:
     """One row per file split, aggregated map-side from a scan of two numbers per line.
 
-    `first_block` is the block number at the start of the split. A split without
-    a blank line lies inside one block; `first_oversize` and `last_oversize` say
-    whether such splits make the first and the last block of this split oversize.
+    `first_block` is the block number at the start of the split. A split without a
+    blank line lies inside one block. A block with more than `max_block_bytes` of
+    such splits is cut at them into sections of about that size: `first_section` is
+    the section in which this split's first block goes on, `first_sections` and
+    `last_sections` count those of its first and its last block. `rank` is the place
+    of the split among the splits that start inside or at the end of the same block.
     """
     in_file = W.partitionBy("path").orderBy("split")
-    covered = F.sum(F.when(F.col("blanks") == 0, F.col("bytes")).otherwise(0))
-    oversize = covered.over(W.partitionBy("path", "first_block")) > max_block_bytes
+    in_block = W.partitionBy("path", "first_block")
+    earlier = in_block.orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+    covered = F.when(F.col("blanks") == 0, F.col("size")).otherwise(0)
     return (
         lines.groupBy("path", "split")
-        .agg(F.sum(_blank()).alias("blanks"), F.sum(F.octet_length("line")).alias("bytes"))
+        .agg(F.sum(_blank()).alias("blanks"), F.sum(_size()).alias("size"))
         .withColumn("first_block", F.sum("blanks").over(in_file) - F.col("blanks"))
         .withColumn("blanks_in_file", F.sum("blanks").over(W.partitionBy("path")))
-        .withColumn("first_oversize", oversize)
-        .withColumn("last_oversize", F.lead("first_oversize", 1, False).over(in_file))
-        .drop("bytes")
+        .withColumn("covered_before", F.coalesce(F.sum(covered).over(earlier), F.lit(0)))
+        .withColumn("covered", F.sum(covered).over(in_block))
+        .withColumn("rank", F.row_number().over(in_block.orderBy("split")))
+        .withColumn(
+            "first_section",
+            F.when(F.col("covered") > max_block_bytes, F.floor(F.col("covered_before") / max_block_bytes)).otherwise(0),
+        )
+        .withColumn("first_sections", F.max("first_section").over(in_block) + 1)
+        .withColumn("last_sections", F.lead("first_sections", 1, 1).over(in_file))
+        .drop("size", "covered", "covered_before")
     )
 
 
 def _blank() -> Column:
     return (F.col("line") == "").cast("long")
+
+
+def _size() -> Column:
+    return F.when(F.col("line") == "", 0).otherwise(F.octet_length("line") + LINE_BYTES).cast("long")

@@ -10,10 +10,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from glossmill.operators.annotate import ERRORS_TYPE, Annotator, annotate, annotate_with
-from glossmill.operators.blocks import MAX_BLOCK_BYTES, group_blocks, oversize_lines
+from glossmill.operators.blocks import MAX_BLOCK_BYTES, group_blocks
 from glossmill.operators.parse import parse_blocks
-from glossmill.operators.typed import enforce_schema, fill_missing
-from glossmill.schemas import QUARANTINE_SCHEMA, RECORD_SCHEMA
+from glossmill.operators.typed import enforce_schema
+from glossmill.schemas import QUARANTINE_SCHEMA, STORED_SCHEMA
 from glossmill.session import get_session
 from glossmill.sources.records import write_records
 from glossmill.sources.text import scan_lines
@@ -22,7 +22,7 @@ from glossmill.sources.text import scan_lines
 DEFAULT_SRC = "/data/abstracts/test.txt"
 DEFAULT_DEST = "/data/test.json"
 
-KEYS = ("path", "block_no")
+KEYS = ("path", "block_no", "part")
 
 # Every map task keeps an index entry per shuffle partition and the second shuffle
 # has a block per pair of partitions, so the width cannot follow the input for ever.
@@ -47,6 +47,8 @@ def ingest(
 ) -> dict[str, int]:
     """Read `src`, write nested records to `dest`, and count the rows written.
 
+    A record larger than `max_block_bytes` is several rows with the same id and tags
+    and a `part` number; the field is NULL, so absent from JSON, for whole records.
     Bad blocks go to `quarantine` (default: `dest` + ".quarantine") with a
     reason; the corpus is grouped again for them only if the first pass saw any.
     `partitions` spreads records over more tasks than the grouping shuffle gives,
@@ -68,15 +70,15 @@ def ingest(
     elif partitions:
         records = records.repartition(partitions)
 
-    schema = RECORD_SCHEMA
+    schema = STORED_SCHEMA
     if annotator is None:
         annotated = annotate(records, lexicon, KEYS)
     else:
         annotated = annotate_with(records, annotator)
-        schema = T.StructType([*RECORD_SCHEMA.fields, T.StructField("_errors", ERRORS_TYPE)])
+        schema = T.StructType([*STORED_SCHEMA.fields, T.StructField("_errors", ERRORS_TYPE)])
     if ordered and lexicon is not None:
         annotated = _in_file_order(annotated, partitions)
-    typed = enforce_schema(annotated.drop(*KEYS), schema)
+    typed = enforce_schema(annotated.drop("path", "block_no"), schema)
 
     with shuffle_width(spark, lines):
         written = _write_counted(typed, dest, fmt)
@@ -84,7 +86,7 @@ def ingest(
         # Upstream of a shuffle a metric can count a row twice, when a stage is
         # sampled or run again, but it cannot miss one.
         if seen.get["rejected"]:
-            rejected = quarantined(blocks, oversize_lines(lines, max_block_bytes))
+            rejected = quarantined(blocks)
         set_aside = _write_counted(rejected, quarantine or f"{dest.rstrip('/')}.quarantine", fmt)
     return {"records": written, "quarantined": set_aside}
 
@@ -102,16 +104,9 @@ def _write_counted(df: DataFrame, dest: str, fmt: str) -> int:
     return rows.get["n"]
 
 
-def quarantined(parsed: DataFrame, large: DataFrame) -> DataFrame:
-    """Rejected blocks, one per row, and the lines of oversize blocks, one per row."""
-    blocks = parsed.filter("reason IS NOT NULL AND NOT oversize")
-    large = large.withColumns({"reason": F.lit("oversize_block"), "lines": F.array("line")})
-    return fill_missing(
-        blocks.select("path", "block_no", "reason", "lines").unionByName(
-            large.drop("line"), allowMissingColumns=True
-        ),
-        QUARANTINE_SCHEMA,
-    )
+def quarantined(parsed: DataFrame) -> DataFrame:
+    """Rejected blocks with their lines, and the raw bytes of those that are not UTF-8."""
+    return parsed.filter("reason IS NOT NULL").select(*QUARANTINE_SCHEMA.names)
 
 
 @contextmanager

@@ -116,6 +116,14 @@ SELECT line, true AS valid, count(*) AS n FROM (
     "group_blocks": f"""WITH {_DOCS}, blocks AS (
   SELECT id, [id, array_to_string(tags, ' ')] || texts AS lines FROM docs)
 SELECT id, CAST(len(lines) AS BIGINT) AS n_lines, array_to_string(lines, chr(1)) AS block FROM blocks""",
+    "group_blocks_parts": f"""WITH {_DOCS}, blocks AS (
+  SELECT id, [id, array_to_string(tags, ' ')] || texts AS lines FROM docs)
+SELECT id, list_sum(list_transform(lines, lambda x: strlen(x) + 48)) <= 600 AS whole,
+  CAST(len(lines) AS BIGINT) AS n_lines, array_to_string(lines, chr(1)) AS block FROM blocks""",
+    "group_blocks_edges": f"""WITH {_DOCS}
+SELECT id, array_to_string(tags, chr(1)) AS tags, array_to_string(texts, chr(1)) AS texts,
+  CASE WHEN tags[2] = 'src0' THEN 'invalid_utf8' ELSE 'ok' END AS status,
+  CASE WHEN tags[2] = 'src0' THEN hex(id) || 'FFC328' ELSE '' END AS raw FROM docs""",
     "parse_blocks": f"""WITH {_DOCS}
 SELECT id, CAST(len(tags) AS BIGINT) AS n_tags, CAST(len(texts) AS BIGINT) AS n_sentences,
   texts[1] AS first_sentence, CAST(NULL AS VARCHAR) AS reason FROM docs""",
@@ -132,7 +140,8 @@ SELECT id, CAST(generate_subscripts(tags, 1) - 1 AS BIGINT) AS pos, unnest(tags)
     "annotate_shape": f"{_BASE}, {_SHAPED} {_annotation('shaped', 'sents', 'id', 'CAST(NULL AS VARCHAR)')}",
     "annotate_plugin": f"WITH {_TURNS} "
     + _annotation("turn_toks", "turns", "conv_id, turn", "string_agg(dep, chr(1) ORDER BY tok_pos)"),
-    "flatten_sentences": f"WITH {_DOCS}, {_SENTS} SELECT id, sent_pos, text FROM sents",
+    "flatten_sentences": f"""WITH {_DOCS}, {_SENTS} SELECT id, sent_pos, text FROM sents
+UNION ALL SELECT id, NULL, NULL FROM docs WHERE coalesce(len(texts), 0) = 0""",
     "flatten_tokens": f"""{_BASE}, {_SHAPED}
 SELECT id, sent_pos, tok_pos, token, lemma, pos1, pos2, CAST(NULL AS VARCHAR) AS dep FROM shaped""",
     "nest_sentences": """SELECT conv_id, count(*) AS n, string_agg(role, chr(1) ORDER BY turn) AS roles,
@@ -160,6 +169,10 @@ FROM shaped GROUP BY id, sent_pos""",
   WHEN lang = 'de' THEN 'unknown_fields: color' WHEN lang = 'es' THEN 'null_id' ELSE 'ok' END AS status
 FROM documents""",
     "ingest": _ROUND_TRIP,
+    "ingest_parts": f"""WITH {_DOCS}
+SELECT id, array_to_string(tags, chr(1)) AS tags, CAST(len(texts) AS BIGINT) AS n_sentences,
+  array_to_string(texts, chr(1)) AS texts, list_sum(list_transform(
+    [id, array_to_string(tags, ' ')] || texts, lambda x: strlen(x) + 48)) <= 600 AS whole FROM docs""",
     "ingest_lexicon": f"{_BASE}, {_LEXICON}, {_TAGGED} {_records('tagged', [('lemmas', 'lemma')])}",
     "ingest_plugin": f"{_BASE}, {_PLUGGED} {_records('plugged', [('pos2', 'pos2'), ('deps', 'dep')])}",
     "ingest_ragged": f"WITH {_DOCS} SELECT id, {_RAGGED_STATUS} AS status FROM docs",

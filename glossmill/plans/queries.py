@@ -27,7 +27,7 @@ from glossmill.operators.nested import flatten_sentences, flatten_tokens, nest_c
 from glossmill.operators.parse import parse_blocks
 from glossmill.operators.typed import enforce_schema, fill_missing, schema_violations
 from glossmill.plans.ingest import ingest
-from glossmill.schemas import RECORD_SCHEMA
+from glossmill.schemas import RECORD_SCHEMA, STORED_SCHEMA
 from glossmill.session import shared_path
 from glossmill.sources.records import read_checked, read_records, write_records
 from glossmill.sources.text import scan_lines, write_blocks
@@ -100,6 +100,32 @@ def _ragged_corpus(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+@lru_cache(maxsize=None)
+def _edge_corpus(spark: SparkSession, sf_dir: str) -> str:
+    """As `_text_corpus`, with line ends, separators and bytes by language.
+
+    German has CR LF, French CR, Spanish blank lines before and a line of blanks after.
+    Texts of one source end in a line with their id and bytes that are not UTF-8.
+    """
+    lang, end = F.col("tags")[0], F.lit("\n")
+    none = F.array().cast("array<string>")
+    bad = F.array(F.concat("id", F.unhex(F.lit("FFC328")).cast("string")))
+    rows = F.concat(
+        F.array("id", F.array_join("tags", " ")),
+        F.coalesce("texts", none),
+        F.when(F.col("tags")[1] == "src0", bad).otherwise(none),
+    )
+    text = (
+        F.when(lang == "de", F.concat(F.array_join(rows, "\r\n"), F.lit("\r\n\r")))
+        .when(lang == "fr", F.concat(F.array_join(rows, "\r"), F.lit("\r\r")))
+        .when(lang == "es", F.concat(F.lit("\n\n"), F.array_join(rows, "\n"), F.lit("\n \t")))
+        .otherwise(F.concat(F.array_join(rows, "\n"), end))
+    )
+    path = shared_path(spark, "edges")
+    _documents(spark, sf_dir).select(text).write.text(path)
+    return path
+
+
 def capital_annotator(rule: str = TOKEN_RULE) -> Callable[[], Annotator]:
     """A factory of plug-ins that take capitals inside a sentence for proper nouns.
 
@@ -128,6 +154,10 @@ def capital_annotator(rule: str = TOKEN_RULE) -> Callable[[], Annotator]:
     return factory
 
 
+#: What a part may hold in the queries that show them.
+PART_BYTES = 600
+
+
 def _annotated_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_sentences(
         annotate_with(_turns(spark, sf_dir), capital_annotator()), ["conv_id", "turn"]
@@ -166,6 +196,29 @@ def group_blocks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def group_blocks_parts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of all parts, at a limit that most documents exceed."""
+    blocks = group_blocks(scan_lines(spark, _text_corpus(spark, sf_dir)), max_block_bytes=PART_BYTES)
+    parts = F.sort_array(F.collect_list(F.struct(F.coalesce("part", F.lit(-1)).alias("part"), "lines")))
+    joined = blocks.groupBy("path", "block_no", F.col("head")[0].alias("id")).agg(
+        F.flatten(parts["lines"]).alias("lines"), F.every(F.col("part").isNull()).alias("whole")
+    )
+    return joined.select("id", "whole", _size("lines").alias("n_lines"), _joined("lines").alias("block"))
+
+
+def group_blocks_edges_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every kind of line end and separator, and lines that are not UTF-8 with their bytes."""
+    blocks = group_blocks(scan_lines(spark, _edge_corpus(spark, sf_dir)))
+    bad = F.array_compact(F.coalesce("raw", F.array().cast("array<string>")))
+    return parse_blocks(blocks).select(
+        "id",
+        _joined("tags").alias("tags"),
+        _joined(F.slice("lines", F.lit(3), F.size("texts") - F.size(bad))).alias("texts"),
+        F.coalesce("reason", F.lit("ok")).alias("status"),
+        _joined(F.transform(bad, lambda r: F.hex(F.unbase64(r)))).alias("raw"),
+    )
+
+
 def parse_blocks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = group_blocks(scan_lines(spark, _text_corpus(spark, sf_dir)))
     return parse_blocks(blocks).select(
@@ -232,16 +285,17 @@ def _annotation_columns(keys: list[str]) -> list[Column | str]:
 
 def annotate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = annotate(_documents(spark, sf_dir), _saved_lexicon(spark, sf_dir), ["id"])
-    return flatten_sentences(records).select(*_annotation_columns(["id"]))
+    return flatten_sentences(records).filter("sent_pos IS NOT NULL").select(*_annotation_columns(["id"]))
 
 
 def annotate_shape_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_sentences(_nested_documents(spark, sf_dir)).select(*_annotation_columns(["id"]))
+    sentences = flatten_sentences(_nested_documents(spark, sf_dir)).filter("sent_pos IS NOT NULL")
+    return sentences.select(*_annotation_columns(["id"]))
 
 
 def annotate_plugin_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["conv_id", "turn"]
-    return _annotated_turns(spark, sf_dir).select(*_annotation_columns(keys))
+    return _annotated_turns(spark, sf_dir).filter("sent_pos IS NOT NULL").select(*_annotation_columns(keys))
 
 
 def build_lexicon_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,7 +414,7 @@ def parquet_round_trip_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_back_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON drops the NULL `dep`; the declared schema brings the field back."""
     records = enforce_schema(_round_trip(spark, sf_dir, "json"))
-    return flatten_sentences(records).select(
+    return flatten_sentences(records).filter("sent_pos IS NOT NULL").select(
         "id",
         F.col("sent_pos").cast("bigint").alias("sent_pos"),
         _joined("lemma").alias("lemma"),
@@ -387,6 +441,23 @@ def read_back_corrupt_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_parts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records put together again from the rows of a run with a low limit."""
+    dest = shared_path(spark, "ingested")
+    ingest(spark, _text_corpus(spark, sf_dir), dest, max_block_bytes=PART_BYTES)
+    rows = read_records(spark, dest, STORED_SCHEMA)
+    part = F.struct(F.coalesce("part", F.lit(-1)).alias("part"), F.col("sentences.text").alias("texts"))
+    texts = F.flatten(F.sort_array(F.collect_list(part))["texts"])
+    records = rows.groupBy("id", "tags").agg(texts.alias("texts"), F.count("part").alias("n_parts"))
+    return records.select(
+        "id",
+        _joined("tags").alias("tags"),
+        _size("texts").alias("n_sentences"),
+        _joined("texts").alias("texts"),
+        (F.col("n_parts") == 0).alias("whole"),
+    )
+
+
 def _ingested(spark: SparkSession, src: str, **options: object) -> DataFrame:
     dest = shared_path(spark, "ingested")
     ingest(spark, src, dest, **options)
@@ -429,6 +500,8 @@ QUERIES: dict[str, Query] = {
     "split_lines": split_lines_query,
     "distribute": distribute_query,
     "group_blocks": group_blocks_query,
+    "group_blocks_parts": group_blocks_parts_query,
+    "group_blocks_edges": group_blocks_edges_query,
     "parse_blocks": parse_blocks_query,
     "quarantine": quarantine_query,
     "split_tags": split_tags_query,
@@ -452,6 +525,7 @@ QUERIES: dict[str, Query] = {
     "read_back": read_back_query,
     "read_back_corrupt": read_back_corrupt_query,
     "ingest": ingest_query,
+    "ingest_parts": ingest_parts_query,
     "ingest_lexicon": ingest_lexicon_query,
     "ingest_plugin": ingest_plugin_query,
     "ingest_ragged": ingest_ragged_query,

@@ -19,14 +19,18 @@ RECORD_SCHEMA = T.StructType(
     ]
 )
 
-# One grouped block, or one line of a block too large to be a row.
+# As records are stored: those too large to be a row are several, with the same id and
+# tags, in the order of `part`, which is NULL for whole records.
+STORED_SCHEMA = T.StructType([*RECORD_SCHEMA.fields, T.StructField("part", T.LongType())])
+
+# One rejected block, or part of one; `raw` has lines that are not UTF-8 in base64.
 QUARANTINE_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
         T.StructField("block_no", T.LongType()),
-        T.StructField("split", T.LongType()),
-        T.StructField("row", T.LongType()),
+        T.StructField("part", T.LongType()),
         T.StructField("reason", T.StringType()),
         T.StructField("lines", T.ArrayType(T.StringType())),
+        T.StructField("raw", T.ArrayType(T.StringType())),
     ]
 )

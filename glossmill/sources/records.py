@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from glossmill.operators.typed import violation
-from glossmill.schemas import RECORD_SCHEMA
+from glossmill.schemas import RECORD_SCHEMA, STORED_SCHEMA
 
 # A string may be as long as a row; the reader's own limit is 20 million characters.
 _READ_OPTIONS = {"maxStringLen": str(2**31 - 1)}
@@ -28,7 +28,7 @@ def read_records(
     return spark.read.schema(schema).options(**_READ_OPTIONS).format(fmt).load(src)
 
 
-def read_checked(spark: SparkSession, src: str, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
+def read_checked(spark: SparkSession, src: str, schema: T.StructType = STORED_SCHEMA) -> DataFrame:
     """JSON lines with a `reason` next to the fields of `schema`, and the raw `line`; no line is lost.
 
     `reason` is NULL for a good record, else `malformed`, `unknown_fields: ...` for
@@ -50,7 +50,7 @@ def read_checked(spark: SparkSession, src: str, schema: T.StructType = RECORD_SC
     return rows.withColumn("reason", reason).drop(corrupt)
 
 
-def read_strict(spark: SparkSession, src: str, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
+def read_strict(spark: SparkSession, src: str, schema: T.StructType = STORED_SCHEMA) -> DataFrame:
     """JSON lines of which every one must be a record: the first that is not fails the job, with its reason."""
     checked = read_checked(spark, src, schema)
     bad = F.raise_error(F.concat(F.lit("bad record: "), "reason")).cast("boolean")

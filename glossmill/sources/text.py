@@ -13,8 +13,9 @@ def scan_lines(spark: SparkSession, src: str | list[str]) -> DataFrame:
 
     Columns: `path`; `split`, the byte offset at which the file split starts;
     `row`, increasing within a split; `line`; `valid`, false when the raw bytes
-    are not UTF-8 (`line` then holds replacement characters). `(split, row)` is
-    file order. A line ends at LF, CR LF or CR.
+    are not UTF-8 (`line` then holds replacement characters, and `raw` the bytes in
+    base64; it is NULL for valid lines). `(split, row)` is file order. A line ends
+    at LF, CR LF or CR.
     """
     pin_split_plan(spark)
     return spark.read.text(src).select(
@@ -23,6 +24,7 @@ def scan_lines(spark: SparkSession, src: str | list[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("row"),
         strip(F.make_valid_utf8("value")).alias("line"),
         F.is_valid_utf8("value").alias("valid"),
+        F.when(~F.is_valid_utf8("value"), F.base64(F.col("value").cast("binary"))).alias("raw"),
     )
 
 

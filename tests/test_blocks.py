@@ -1,10 +1,12 @@
+import base64
 import gzip
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from glossmill import group_blocks, oversize_lines, parse_blocks, scan_lines
+from glossmill import group_blocks, parse_blocks, scan_lines
+from glossmill.operators.blocks import LINE_BYTES
 from glossmill.sources.text import write_blocks
 from tests.model import blocks_of
 
@@ -96,36 +98,75 @@ def test_duplicates_and_order_are_kept(spark, tmp_path):
     assert grouped(spark, path) == [["id", "t", "b", "a", "b"]] * 3
 
 
-def test_block_larger_than_the_limit_keeps_its_lines_apart(spark, tmp_path, conf):
-    conf("spark.sql.files.maxPartitionBytes", "100")
-    giant = [f"line {i}" for i in range(200)]
-    text = "id1\nt\ns\n\nid2\nt\n" + "\n".join(giant) + "\n\nid3\nt\ns\n\n"
-    path = write(tmp_path / "a.txt", text)
-    lines = scan_lines(spark, path)
-
-    rows = parse_blocks(group_blocks(lines, max_block_bytes=500)).orderBy("block_no").collect()
-    assert [(r.id, r.reason) for r in rows] == [("id1", None), (None, "oversize_block"), ("id3", None)]
-    assert rows[1].lines == []
-
-    large = oversize_lines(lines, max_block_bytes=500).orderBy("split", "row").collect()
-    assert [r.line for r in large] == ["id2", "t", *giant]
-    assert {r.block_no for r in large} == {rows[1].block_no}
-
-    assert grouped(spark, path) == blocks_of(path)
+GIANT = [f"line {i}" for i in range(200)]
+GIANT_FILES = {
+    "inside": "id1\nt\ns\n\nid2\nt\n" + "\n".join(GIANT) + "\n\nid3\nt\ns\n\n",
+    "only": "\n".join(GIANT),
+    "first": "\n".join(GIANT) + "\n\nid\nt\n\n",
+    "last": "id\nt\n\n" + "\n".join(GIANT),
+    "long_lines": "id\nt\n\n" + "\n".join("x" * (100 + i) for i in range(30)) + "\n\nid\nt\ns\n\n",
+    "short_lines": "id\nt\n\n" + "a\nb\n" * 100 + "\nid\nt\ns",
+}
 
 
-def test_giant_block_at_either_end_of_a_file(spark, tmp_path, conf):
-    conf("spark.sql.files.maxPartitionBytes", "50")
-    giant = "\n".join(f"line {i}" for i in range(100))
-    for name, text in {
-        "only": giant,
-        "first": f"{giant}\n\nid\nt\n\n",
-        "last": f"id\nt\n\n{giant}",
-    }.items():
-        lines = scan_lines(spark, write(tmp_path / f"{name}.txt", text))
-        assert oversize_lines(lines, 200).count() == 100
-        small = group_blocks(lines, max_block_bytes=200).filter("NOT oversize").count()
-        assert small == (0 if name == "only" else 1)
+@pytest.mark.parametrize("split_bytes, limit", [("60", 60), ("100", 500), ("1000", 60), ("1000", 3000), ("128m", 500)])
+def test_large_blocks_are_parts_with_every_line(spark, tmp_path, conf, split_bytes, limit):
+    conf("spark.sql.files.maxPartitionBytes", split_bytes)
+    paths = [write(tmp_path / f"{name}.txt", text) for name, text in sorted(GIANT_FILES.items())]
+    with gzip.open(tmp_path / "zipped.txt.gz", "wb") as file:
+        file.write(GIANT_FILES["inside"].encode())
+    expected = [b for p in [*paths, write(tmp_path.parent / "zipped.txt", GIANT_FILES["inside"])] for b in blocks_of(p)]
+
+    parsed = parse_blocks(group_blocks(scan_lines(spark, str(tmp_path)), max_block_bytes=limit))
+    blocks = {}
+    for r in parsed.orderBy("path", "block_no", "part").collect():
+        blocks.setdefault((r.path, r.block_no), []).append(r)
+    assert [sum((r.lines for r in rows), []) for rows in blocks.values()] == expected
+    for (rows, lines) in zip(blocks.values(), expected):
+        cost = sum(len(x) + LINE_BYTES for x in lines)
+        parts = [r.part for r in rows]
+        assert parts == [None] if len(parts) == 1 and cost <= limit else None not in parts
+        assert all(p < q for p, q in zip(parts, parts[1:]))
+        assert all(r.id == lines[0] and " ".join(r.tags) == lines[1] and r.reason is None for r in rows)
+        assert sum((r.texts for r in rows), []) == lines[2:]
+        longest = max(map(len, lines)) + LINE_BYTES
+        assert all(sum(len(x) + LINE_BYTES for x in r.lines) <= 1.25 * limit + 2 * longest for r in rows)
+
+
+def test_the_text_is_shuffled_once(spark, tmp_path, conf):
+    """By split; the border blocks of the splits read that exchange again, and only they move once more."""
+    conf("spark.sql.files.maxPartitionBytes", "20000")
+    path = write(tmp_path / "a.txt", random_text(6, 3000))
+    df = group_blocks(scan_lines(spark, path))
+    assert len(df.collect()) == 3000
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # The lines and the split table, once each.
+    assert plan.count("FileScan text") == 2
+    assert plan.count("ReusedExchange") == 2
+
+    stages = shuffle_bytes_by_stage(df)
+    assert sum(stages) < 1.5 * max(stages)
+
+
+def shuffle_bytes_by_stage(df):
+    """What each shuffle of the executed plan wrote."""
+    found, seen, todo = [], set(), [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "ReusedExchangeExec":
+            continue
+        if kind == "ShuffleExchangeExec" and node.id() not in seen:
+            seen.add(node.id())
+            found.append(node.metrics().apply("dataSize").value())
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            children = node.children()
+            todo.extend(children.apply(i) for i in range(children.size()))
+    return found
 
 
 def test_bad_bytes_mark_the_line_and_the_block(spark, tmp_path):
@@ -135,6 +176,8 @@ def test_bad_bytes_mark_the_line_and_the_block(spark, tmp_path):
     assert [r.line for r in lines.filter("NOT valid").collect()] == ["�� oops"]
     rows = parse_blocks(group_blocks(lines)).orderBy("block_no").collect()
     assert [(r.id, r.reason) for r in rows] == [("id1", "invalid_utf8"), ("id2", None)]
+    raw = [r and base64.b64decode(r) for r in rows[0].raw]
+    assert raw == [None, None, b"\xff\xfe oops"] and rows[1].raw is None
 
 
 def test_parse(spark, tmp_path):

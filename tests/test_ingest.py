@@ -1,9 +1,10 @@
+import base64
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from glossmill import RECORD_SCHEMA, ingest, read_records, scan_lines
+from glossmill import RECORD_SCHEMA, STORED_SCHEMA, ingest, read_records, scan_lines
 from glossmill.plans.ingest import main, shuffle_width
 from tests.model import records_of
 from tests.test_blocks import random_text, write
@@ -69,15 +70,23 @@ def test_bad_blocks_are_quarantined_and_nothing_is_lost(spark, tmp_path, conf):
     dest, rejected = str(tmp_path / "out"), str(tmp_path / "rejected")
 
     counts = ingest(spark, str(path), dest, quarantine=rejected, max_block_bytes=400)
-    assert counts == {"records": 2, "quarantined": 202}
-    assert found(spark, dest) == [("id1", ["t"], ["s1"]), ("id2", ["t"], [])]
+    stored = read_records(spark, dest, STORED_SCHEMA).orderBy("part").collect()
+    assert counts == {"records": len(stored), "quarantined": 2}
+    whole = sorted((r.id, r.tags, [x.text for x in r.sentences]) for r in stored if r.part is None)
+    assert whole == [("id1", ["t"], ["s1"]), ("id2", ["t"], [])]
+    parts = [r for r in stored if r.part is not None]
+    assert len(parts) > 10 and {(r.id, tuple(r.tags)) for r in parts} == {("line 0", ("line", "1"))}
+    assert [x.text for r in parts for x in r.sentences] == giant.split("\n")[2:]
+    text = "".join(p.read_text() for p in (tmp_path / "out").glob("part-*"))
+    assert text.count('"part":') == len(parts)
     rows = spark.read.json(rejected).select("reason", F.size("lines").alias("n"), "lines").collect()
     by_reason = {}
     for r in rows:
         by_reason.setdefault(r.reason, []).append(r)
     assert [r.lines for r in by_reason["missing_tags"]] == [["lonely"]]
     assert [r.lines for r in by_reason["invalid_utf8"]] == [["bad", "t", "�"]]
-    assert sorted(r.lines[0] for r in by_reason["oversize_block"]) == sorted(giant.split("\n"))
+    raw = spark.read.schema("raw array<string>").json(rejected).filter("raw IS NOT NULL").head().raw
+    assert base64.b64decode(raw[2]) == b"\xff"
 
     # A clean run leaves no stale quarantine behind.
     ingest(spark, write(tmp_path / "b.txt", "id1\nt\n\n"), dest, quarantine=rejected)
