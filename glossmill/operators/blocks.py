@@ -8,8 +8,6 @@ of all earlier splits of the file. The second level is one row per split.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 # A Spark row cannot exceed 2 GiB; a block of more than this is several rows.
@@ -41,15 +39,12 @@ def group_blocks(
     pieces = _pieces(lines, max_block_bytes)
     if not keep_unterminated:
         pieces = pieces.filter("block_no < blanks_in_file")
-    # Only the first and the last block of a split can go on in another one. The
-    # others stay where the window put them, so the text is shuffled once.
-    inner = _assemble(pieces.filter("NOT border"), ["path", "split", "block_no", "section"], max_block_bytes)
-    border = _assemble(pieces.filter("border"), ["path", "block_no", "section"], max_block_bytes)
-    return inner.unionByName(border)
+    return _assemble(pieces, max_block_bytes)
 
 
-def _assemble(pieces: DataFrame, keys: Sequence[str], max_block_bytes: int) -> DataFrame:
+def _assemble(pieces: DataFrame, max_block_bytes: int) -> DataFrame:
     """Pieces of blocks, or of sections of large blocks, -> whole blocks or parts."""
+    keys = ["path", "block_no", "section"]
     # One ordering for all of them, so the pieces are sorted once.
     in_order = W.partitionBy(*keys).orderBy("split", "piece")
     earlier = in_order.rowsBetween(W.unboundedPreceding, -1)
@@ -129,7 +124,6 @@ def _pieces(lines: DataFrame, max_block_bytes: int) -> DataFrame:
         pieces.join(_split_table(lines, max_block_bytes), ["path", "split"], "left")
         .withColumn("blanks", F.coalesce("blanks", changed))
         .withColumn("block_no", F.col("first_block") + F.col("local_no"))
-        .withColumn("border", is_first | is_last)
         .withColumn("section", F.when(is_first, F.col("first_section")).otherwise(0))
         .withColumn(
             "sections",
