@@ -9,11 +9,14 @@ to be joined to texts.
 
 The distinct entities of the corpus are then checked: a surrogate that two entities
 share, or that is itself an entity of the corpus, is drawn again for all but the first
-of them. Only documents with such an entity meet a table of draws.
+of them, and longer than its entity after a few draws. Only documents with such an
+entity meet a table of draws.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from glossmill.llm.common import saved
@@ -87,8 +90,9 @@ def surrogate(kind: Column, entity: Column, key: str, attempt: Column) -> Column
     """The canonical surrogate of a canonical entity."""
     seed = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, entity, attempt.cast("string")), 256)
 
+    letter = "abcdefghijklmnopqrstuvwxyz"
+
     def shaped(text: Column, offset: int = 0) -> Column:
-        letter = "abcdefghijklmnopqrstuvwxyz"
         drawn = F.transform(
             F.split(text, ""),
             lambda c, i: F.when(c.rlike("[0-9]"), _number(seed, i + offset, 10).cast("string"))
@@ -97,35 +101,45 @@ def surrogate(kind: Column, entity: Column, key: str, attempt: Column) -> Column
         )
         return F.array_join(drawn, "")
 
+    def longer(mark: str, after: int, draw: Callable[[Column], Column]) -> Column:
+        """As many more drawn parts as there were attempts above `after`, so the space grows until it has room."""
+        more = F.array_repeat(F.lit(mark), F.greatest(attempt - after, F.lit(0)).cast("int"))
+        return F.array_join(F.transform(more, lambda c, i: F.concat(c, draw(i + 200))), "")
+
+    more_letters = longer("", 2, lambda i: F.substring(F.lit(letter), (_number(seed, i, 26) + 1).cast("int"), F.lit(1)))
+    more_digits = longer("", 8, lambda i: _number(seed, i, 10).cast("string"))
+    more_octets = longer(".", 8, lambda i: (_number(seed, i, 254) + 1).cast("string"))
     local, domain = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1)
     top = F.substring_index(domain, ".", -1)
     host = F.substring(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
     # A card keeps its first digit, which names the network, a phone what stands before ten digits.
     size = F.length(entity)
-    body = F.concat(F.substring(entity, 1, 1), shaped(F.substring(entity, F.lit(2), size - 2)))
+    body = F.concat(F.substring(entity, 1, 1), shaped(F.substring(entity, F.lit(2), size - 2)), more_digits)
     code = F.greatest(size - 10, F.lit(0))
     phone = F.concat(F.substring(entity, F.lit(1), code), shaped(F.substring(entity, code + 1, size)))
     check = (10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10
     octets = F.transform(F.split(entity, r"\."), lambda x, i: (_number(seed, i, 254) + 1).cast("string"))
     return (
-        F.when(kind == "email", F.concat(shaped(local), F.lit("@"), shaped(host, 100), F.lit("."), top))
+        F.when(kind == "email", F.concat(shaped(local), more_letters, F.lit("@"), shaped(host, 100), F.lit("."), top))
         .when(kind == "card", F.concat(body, check.cast("int").cast("string")))
-        .when(kind == "phone", phone)
-        .when(kind == "ip", F.array_join(octets, "."))
-        .when(kind.isin("male", "female"), F.concat(kind, F.lit(":"), _name(kind, entity, seed)))
-        .otherwise(shaped(entity))
+        .when(kind == "phone", F.concat(phone, more_digits))
+        .when(kind == "ip", F.concat(F.array_join(octets, "."), more_octets))
+        .when(kind.isin("male", "female"), F.concat(kind, F.lit(":"), _name(kind, entity, seed, attempt)))
+        .otherwise(F.concat(shaped(entity), more_digits))
     )
 
 
-def _name(kind: Column, entity: Column, seed: Column) -> Column:
+def _name(kind: Column, entity: Column, seed: Column, attempt: Column) -> Column:
     def made(script: str) -> Column:
         parts = F.array(*map(F.lit, SYLLABLES[script]))
         pick = lambda i: F.element_at(parts, (_number(seed, i, len(SYLLABLES[script])) + 1).cast("int"))
+        more = F.array_repeat(F.lit(""), F.greatest(attempt - 2, F.lit(0)).cast("int"))
         ending = lambda g: F.element_at(
             F.array(*map(F.lit, ENDINGS[script][g])), (_number(seed, 9, len(ENDINGS[script][g])) + 1).cast("int")
         )
         end = F.when(kind == "male", ending("male")).otherwise(ending("female"))
-        return F.concat(pick(1), pick(2), pick(3), pick(4), end)
+        longer = F.array_join(F.transform(more, lambda c, i: pick(i + 200)), "")
+        return F.concat(pick(1), pick(2), pick(3), pick(4), longer, end)
 
     return F.when(entity.rlike(r"\p{IsCyrillic}"), made("cyrillic")).otherwise(made("latin"))
 
@@ -139,7 +153,8 @@ def written(kind: Column, value: Column, drawn: Column) -> Column:
             c.rlike("[0-9]"),
             F.struct(F.concat(s["out"], F.substring(drawn, s["k"], F.lit(1))).alias("out"), (s["k"] + 1).alias("k")),
         ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["k"].alias("k"))),
-        lambda s: s["out"],
+        # A surrogate that had to be longer than its entity ends in the digits that are left.
+        lambda s: F.concat(s["out"], F.substring(drawn, s["k"], F.length(drawn))),
     )
     cased = lambda text: F.when(value == F.upper(value), F.upper(text)).otherwise(text)
     family = F.substring_index(drawn, ":", -1)
@@ -180,8 +195,10 @@ def entities(docs: DataFrame) -> DataFrame:
 def redrawn(found: DataFrame, key: str) -> DataFrame:
     """`kind, entity, attempt` of the entities whose first surrogate is not theirs alone.
 
-    Each round draws again for all but the smallest of those that collide; the rounds
-    end because a draw that stands is never given up.
+    Each round draws again for all but the smallest of those that collide. The rounds
+    end because a draw that stands is never given up, and draws grow longer by a part a
+    round after the first few, so also a shape without free surrogates, or one in which
+    nothing can vary, gets room.
     """
     drawn = found.withColumn("attempt", F.lit(0)).withColumn(
         "drawn", surrogate(F.col("kind"), F.col("entity"), key, F.col("attempt"))

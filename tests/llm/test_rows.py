@@ -236,6 +236,25 @@ def test_collisions_are_drawn_again(spark):
     assert len(drawn) == len(mails) and not drawn & set(mails)
 
 
+def test_redraws_end_where_a_shape_has_no_free_surrogate(spark):
+    mails = [f"{a}@{b}.io" for a in map(chr, range(97, 123)) for b in map(chr, range(97, 123))] + ["---@---.com", "_@-.com"]
+    docs = frame(spark, [(i, f"see {m} and {m}") for i, m in enumerate(mails)])
+    got = [r.text.split() for r in pii.pseudonymise(docs, "k").collect()]
+    assert all(x[1] == x[3] and "@" in x[1] for x in got)
+    drawn = {x[1] for x in got}
+    assert len(drawn) == len(mails) and not drawn & set(mails)
+
+
+def test_surrogates_of_every_type_grow_with_the_attempts(spark):
+    rows = [("ip", "10.20.30.40"), ("ssn", "123456789"), ("card", "4539148803436467"), ("phone", "5550102030"), ("male", "male:smith"), ("female", "female:иванова")]
+    grown = [pii.surrogate(F.col("kind"), F.col("entity"), "k", F.lit(n)).alias(f"n{n}") for n in (0, 12)]
+    for row in frame(spark, rows, "kind string, entity string").select("kind", "entity", *grown).collect():
+        assert len(row.n12) >= len(row.n0) + 4, row
+        assert row.kind != "card" or sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(row.n12))) % 10 == 0
+    shown = pii.written(F.lit("ssn"), F.lit("123-45-6789"), F.lit("98765432101"))
+    assert spark.range(1).select(shown).first()[0] == "987-65-432101"
+
+
 # --- secrets -----------------------------------------------------------------
 
 
