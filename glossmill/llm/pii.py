@@ -21,17 +21,34 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from glossmill.llm.common import saved
 
+MALE, FEMALE = "Mr|Herr|Señor|Monsieur|Господин", "Mrs|Ms|Miss|Frau|Señora|Madame|Госпожа"
+#: What may stand between a title and the name, and inside the name.
+_DEGREES = r"(?:(?:Dr|Prof|Ing|Dipl|Mag|Sir|Don|Doña)(?:\.-?| |-)){0,3}+ ?"
+_PARTICLES = r"(?:(?:von|vom|van|der|den|de|del|della|di|da|do|dos|das|du|la|le|las|los|zu|zum|zur|ten|ter|bin|ibn|al|el|y|e) ){0,3}+"
+#: A word of a name may have hyphens and apostrophes before capitals.
+_WORD = rf"(?!(?:{MALE}|{FEMALE})(?!\p{{L}}))\p{{Lu}}[\p{{L}}\p{{M}}]{{0,40}}+(?:['’-]\p{{Lu}}[\p{{L}}\p{{M}}]{{0,40}}+){{0,3}}+"
+#: All capitalised words of the line, six at most; a lone capital may have a point.
+_NAME = rf"{_DEGREES}{_PARTICLES}{_WORD}(?:(?:(?<=\s\p{{Lu}})\.)? {_PARTICLES}{_WORD}){{0,5}}+"
+#: Looks ahead for eight digits in groups.
+_EIGHT = r"(?=(?:[ ./()-]{0,3}+\d){8})"
+
 #: Patterns by type, in the order in which they are tried at a place. Counted and possessive
 #: parts only, each begun behind a border, so time is linear in the text.
-_GIVEN = r"[\p{Lu}][\p{L}\p{M}]{1,30}+"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{3})[ .-]\d{3}[ .-]\d{4}(?!\w)",
+    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{3})[ .-]\d{3}[ .-]\d{4}(?!\w)"
+    # A country code and a number in any groups; a trunk prefix may stand in brackets.
+    rf"|(?<![\w+])(?:\+(?!\d{{16}})|00(?=[1-9])(?!\d{{14}})){_EIGHT}\d{{1,4}}(?:[ ./-]?\(\d{{1,5}}\))?(?:(?: ?[./-] ?| )?\d{{1,14}}+){{1,7}}+(?!\w)"
+    # National numbers after a 0: five pairs or unbroken, and an area code before one to four groups.
+    r"|(?<![\w+.-])0[1-9](?:(?:[ .-]?\d\d){4}|\d{8,10})(?!\w)"
+    rf"|(?<![\w+.-]){_EIGHT}(?:0[1-9]\d{{1,4}}(?: ?/ ?|[ -])|\(0[1-9]\d{{1,4}}\) ?)\d{{2,9}}+(?:[ -]\d{{1,5}}){{0,3}}+(?!\w)"
+    # Nine digits from 6 to 9 on, as in Spain.
+    r"|(?<![\w+.-])(?<!\d )(?:[6-9]\d\d \d{3} \d{3}|[6-9]\d\d-\d{3}-\d{3}|[6-9]\d\d(?: \d\d){3}|[89]\d \d{3} \d\d \d\d)(?!\w|[ .-]\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": r"(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?!\w|\.\d)",
-    "card": r"(?<![\w-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])",
-    "male": rf"(?<!\w)(?:Mr|Herr|Señor|Monsieur|Господин)\.?\s{_GIVEN}",
-    "female": rf"(?<!\w)(?:Mrs|Ms|Miss|Frau|Señora|Madame|Госпожа)\.?\s{_GIVEN}",
+    "card": r"(?<![\w-])(?:\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?![\w-])",
+    "male": rf"(?<!\w)(?:{MALE})\.?\s{_NAME}",
+    "female": rf"(?<!\w)(?:{FEMALE})\.?\s{_NAME}",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
@@ -81,7 +98,7 @@ def canonical(kind: Column, value: Column) -> Column:
     return (
         F.when(kind == "email", F.lower(value))
         .when(kind.isin("phone", "ssn", "card"), digits(value))
-        .when(kind.isin("male", "female"), F.concat(kind, F.lit(":"), F.lower(name)))
+        .when(kind.isin("male", "female"), F.concat(kind, F.lit(":"), F.translate(F.lower(name), "’", "'")))
         .otherwise(value)
     )
 
@@ -112,10 +129,10 @@ def surrogate(kind: Column, entity: Column, key: str, attempt: Column) -> Column
     local, domain = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1)
     top = F.substring_index(domain, ".", -1)
     host = F.substring(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
-    # A card keeps its first digit, which names the network, a phone what stands before ten digits.
+    # A card keeps its first digit, which names the network, a phone a 0 at its start and what stands before ten digits.
     size = F.length(entity)
     body = F.concat(F.substring(entity, 1, 1), shaped(F.substring(entity, F.lit(2), size - 2)), more_digits)
-    code = F.greatest(size - 10, F.lit(0))
+    code = F.greatest(size - 10, F.when(entity.startswith("0"), 1).otherwise(0))
     phone = F.concat(F.substring(entity, F.lit(1), code), shaped(F.substring(entity, code + 1, size)))
     check = (10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10
     octets = F.transform(F.split(entity, r"\."), lambda x, i: (_number(seed, i, 254) + 1).cast("string"))
@@ -144,7 +161,17 @@ def _name(kind: Column, entity: Column, seed: Column, attempt: Column) -> Column
     return F.when(entity.rlike(r"\p{IsCyrillic}"), made("cyrillic")).otherwise(made("latin"))
 
 
-def written(kind: Column, value: Column, drawn: Column) -> Column:
+def _given(kind: Column, word: Column, key: str) -> Column:
+    """A surrogate for a name before the family name; particles stay, an initial stays one."""
+    lower = F.lower(word)
+    seed = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("given"), kind, lower), 256)
+    drawn = F.initcap(_name(kind, lower, seed, F.lit(0)))
+    other = F.when(F.lower(drawn) == lower, F.concat(drawn, F.lit("o"))).otherwise(drawn)
+    initial = word.rlike(r"\A\p{Lu}\.?\z")
+    return F.when(initial, F.concat(F.substring(drawn, 1, 1), F.substring(word, 2, 1))).when(word.rlike(r"\A\p{Lu}"), other).otherwise(word)
+
+
+def written(kind: Column, value: Column, drawn: Column, key: str) -> Column:
     """A canonical surrogate in the notation of the match it replaces."""
     into = F.aggregate(
         F.split(value, ""),
@@ -158,10 +185,13 @@ def written(kind: Column, value: Column, drawn: Column) -> Column:
     )
     cased = lambda text: F.when(value == F.upper(value), F.upper(text)).otherwise(text)
     family = F.substring_index(drawn, ":", -1)
-    title = F.regexp_extract(value, r"\A(.*\s)\S+\z", 1)
+    title = F.regexp_extract(value, rf"\A(\S+\s{_DEGREES})", 1)
+    last = F.length(F.regexp_extract(value, r"(\S+)\z", 1))
+    between = F.substring(value, F.length(title) + 1, F.length(value) - F.length(title) - last)
+    given = F.array_join(F.transform(F.split(between, " "), lambda w: _given(kind, w, key)), " ")
     return (
         F.when(kind.isin("phone", "ssn", "card"), into)
-        .when(kind.isin("male", "female"), F.concat(title, F.initcap(family)))
+        .when(kind.isin("male", "female"), F.concat(title, given, F.initcap(family)))
         .when(kind == "email", cased(drawn))
         .otherwise(drawn)
     )
@@ -251,7 +281,7 @@ def pseudonymise(docs: DataFrame, key: str, redraws: DataFrame | None = None) ->
     replaced = F.transform(
         "_found",
         lambda e: F.when(e["kind"].isNull(), e["value"]).otherwise(
-            written(e["kind"], e["value"], surrogate(e["kind"], e["entity"], key, attempt(e)))
+            written(e["kind"], e["value"], surrogate(e["kind"], e["entity"], key, attempt(e)), key)
         ),
     )
     joined = F.array_join(F.zip_with("_pieces", "_new", lambda p, v: F.concat(p, F.coalesce(v, F.lit("")))), "")

@@ -251,10 +251,33 @@ def test_surrogates_of_every_type_grow_with_the_attempts(spark):
     for row in frame(spark, rows, "kind string, entity string").select("kind", "entity", *grown).collect():
         assert len(row.n12) >= len(row.n0) + 4, row
         assert row.kind != "card" or sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(row.n12))) % 10 == 0
-    shown = pii.written(F.lit("ssn"), F.lit("123-45-6789"), F.lit("98765432101"))
+    shown = pii.written(F.lit("ssn"), F.lit("123-45-6789"), F.lit("98765432101"), "k")
     assert spark.range(1).select(shown).first()[0] == "987-65-432101"
 
 
+def test_entities_are_found_whole(spark):
+    text = (
+        "Mr John Smith, Mr J. R. Smith and Mr Smith. The Herr Meier-Schulz, Mr O’Brien, Mr O'Brien's hat, Herr Dr. von Bülow, Señor Ortega y Señora Vidal."
+        " Frau Prof. Anna-Lena Groß\nNext"
+    )
+    new = pii.pseudonymise(frame(spark, [(1, text)]), "key").first().text
+    for old in "John Smith Meier Schulz Brien Bülow Ortega Vidal Anna Lena Groß".split():
+        assert old not in new, old
+    family = r"([A-Z][a-z]{6,})"
+    shape = rf"Mr [A-Z][a-z]+ {family}, Mr [A-Z]\. [A-Z]\. \1 and Mr \1\. The Herr {family}, Mr {family}, Mr \3's hat, Herr Dr\. von {family}, Señor {family} y Señora {family}\. Frau Prof\. [A-Z][a-z]+ {family}\nNext"
+    assert re.fullmatch(shape, new), new
+    numbers = ["+49 30 1234567", "+49 (0)30 123 45 67", "0049 171 1234567", "030 1234567", "0171/1234567", "(030) 123 4567", "01711234567"]
+    numbers += ["06 12 34 56 78", "06.12.34.56.78", "0612345678", "+33 6 12 34 56 78", "612 345 678", "91 123 45 67", "+34 612 345 678", "+442079460958"]
+    numbers += ["3782 822463 10005", "3782-822463-10005"]
+    clean = ["05.12.2024", "2024-01-05", "1 234 567", "10:30", "007", "3.14159265", "0012345678901234", "3782 822463 10006"]
+    got = pii.pseudonymise(frame(spark, [(i, f"at {x}, so") for i, x in enumerate(numbers + clean)]), "key").collect()
+    for row in got:
+        x = (numbers + clean)[row.doc_id]
+        assert (row.text == f"at {x}, so") == (x in clean), (x, row.text)
+        assert re.sub(r"\d", "9", row.text) == re.sub(r"\d", "9", f"at {x}, so"), (x, row.text)
+        assert row.kinds == ("" if x in clean else "card" if x[:4] == "3782" else "phone")
+
+
 # --- secrets -----------------------------------------------------------------
 
 
