@@ -3,7 +3,7 @@
 Every element gets features of its tag, its class, id and role tokens, its depth, its
 subtree (text, links, tags) and its siblings, and those of what stands above it. The
 trees give the log-odds that an element belongs to the article; navigation, asides,
-footers and forms never do. Decoding picks the set of elements with the largest sum of log-odds in which every chosen element's
+footers and forms never do, but for a form or an aside that holds most of the text. Decoding picks the set of elements with the largest sum of log-odds in which every chosen element's
 parent is chosen too, so no element is kept inside one that is not.
 
 The model is trained on pages written here from a seeded grammar whose elements are
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -34,8 +35,9 @@ BLOCK = set(
     " td th blockquote pre figure figcaption address header footer nav aside form fieldset details summary hr"
     " hgroup search center menu".split()
 )
-#: Elements that are never article by what HTML says they mean.
+#: Elements that are never article by what HTML says they mean, and those of them that some pages put their text in.
 NEVER = set("nav aside footer form dialog menu".split())
+WRAPPERS = {"form", "aside"}
 #: An open element of the key that a start tag of one of the values closes.
 CLOSED_BY = {
     "p": BLOCK - set("html body td th caption tr thead tbody tfoot".split()),
@@ -71,7 +73,9 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|itemprop)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: One attribute, its name and value; values are passed over, so no name is found in them.
+ATTRIBUTE = re.compile(r"""([^\s=/>"']++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?|["'][^\s]*+""")
+WORDED = set("class id role itemprop".split())
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 #: Elements nested deeper than this stay leaves, as in browsers; their texts stay too.
 MAX_DEPTH = 512
@@ -170,10 +174,15 @@ def _read_attributes(node: Node, raw: str) -> None:
         name = name.lower()
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             node.hidden = True
-        elif name != "aria-hidden":
+        elif name in WORDED:
             node.words += [w.lower() for w in WORDS.findall(value)]
 
 
+def _frames(node: Node, page_chars: int) -> bool:
+    """Whether the node is a form or an aside around most of the page's text; the trees see it as a `div`."""
+    return node.tag in WRAPPERS and 2 * node.chars > page_chars
+
+
 def features(nodes: list[Node], texts: list[tuple[int, str]]) -> np.ndarray:
     """One row per element."""
     for i, t in texts:
@@ -194,20 +203,22 @@ def features(nodes: list[Node], texts: list[tuple[int, str]]) -> np.ndarray:
     page = max(1, nodes[0].chars)
     out = np.zeros((len(nodes), len(TAGS) + 22))
     away_above = np.zeros((len(nodes), 3))
+    alike = Counter((node.parent, node.tag) for node in nodes[1:])
     for i, node in enumerate(nodes):
         parent = nodes[node.parent] if i else node
         row = out[i]
-        if node.tag in TAGS:
-            row[TAGS.index(node.tag)] = 1
+        tag = "div" if _frames(node, page) else node.tag
+        if tag in TAGS:
+            row[TAGS.index(tag)] = 1
         away = sum(w in AWAY for w in node.words)
         towards = sum(w in TOWARDS for w in node.words)
         if i:
             away_above[i] = away_above[node.parent]
-        own = (away > 0, towards > 0, node.tag in AWAY_TAGS)
+        own = (away > 0, towards > 0, tag in AWAY_TAGS)
         row[len(TAGS) :] = (
             away,
             towards,
-            node.tag in AWAY_TAGS,
+            tag in AWAY_TAGS,
             *away_above[i],
             node.depth,
             np.log1p(node.chars),
@@ -220,7 +231,7 @@ def features(nodes: list[Node], texts: list[tuple[int, str]]) -> np.ndarray:
             node.index,
             node.index / max(1, len(parent.children) - 1),
             len(parent.children),
-            sum(nodes[c].tag == node.tag for c in parent.children[:50]),
+            alike[node.parent, node.tag],
             np.log1p(parent.chars / max(1, len(parent.children))),
             node.chars / max(1, parent.chars),
             parent.link_chars / max(1, parent.chars),
@@ -232,7 +243,8 @@ def features(nodes: list[Node], texts: list[tuple[int, str]]) -> np.ndarray:
 
 def decode(nodes: list[Node], log_odds: np.ndarray) -> np.ndarray:
     """The best set of elements that holds the parent of each of its members, the root included."""
-    weight = np.where([n.unseen or n.hidden or n.tag in NEVER for n in nodes], -np.inf, log_odds)
+    never = [n.tag in NEVER and not _frames(n, nodes[0].chars) for n in nodes]
+    weight = np.where([n.unseen or n.hidden or no for n, no in zip(nodes, never)], -np.inf, log_odds)
     weight[0] = 0.0
     best = weight.copy()
     for i in range(len(nodes) - 1, 0, -1):

@@ -193,6 +193,19 @@ def test_hard_markup_is_linear():
     assert next(html.main_texts([deep], html.page_model())).startswith("x")
 
 
+def test_names_in_attribute_values_hide_nothing_and_a_form_may_hold_the_page():
+    body = "<h1>Head</h1>" + "<p>Some words of the text, and then some more of it.</p>" * 3
+    want = "\n\n".join(["Head"] + ["Some words of the text, and then some more of it."] * 3)
+    pages = [f"<body {a}><div class=content {a}>{body}</div></body>" for a in ('style="overflow:hidden"', 'data-title="The hidden cost"', "data-hidden=false", "title='x hidden'")]
+    pages.append(f'<body><form action="./x.aspx"><div class="content">{body}</div></form></body>')
+    assert list(html.main_texts(pages, html.page_model())) == [want] * len(pages)
+    gone = [f"<body><article>{body}</article><div {a}><p>Not seen here.</p></div></body>" for a in ("hidden", 'HIDDEN=""', "hidden=hidden", 'aria-hidden="true"', "data-x='a' hidden")]
+    gone.append(f"<body><article>{body}</article><form><label>Mail</label></form></body>")
+    assert list(html.main_texts(gone, html.page_model())) == [want] * len(gone)
+    nodes, texts = html.parse("<ul>" + "<li>x</li>" * 70 + "</ul>")
+    assert html.features(nodes, texts)[-1, len(html.TAGS) + 17] == 70
+
+
 # --- personal data -----------------------------------------------------------
 
 
