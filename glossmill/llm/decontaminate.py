@@ -14,8 +14,10 @@ is one pass over the documents.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +30,18 @@ RESULT = "doc_id long, item_id long, start long, end long, edits int, n_patterns
 
 @dataclass(frozen=True)
 class Settings:
-    """`min_chars`: shorter items (after normalising) name nothing and are not searched.
+    """A verbatim passage of an item is certain to be found from `pattern_chars + step_chars - 1`
+    characters on (after normalising), and a whole item at any length: items shorter than
+    `min_chars` are found exactly, between word borders. Those are reported, but too short
+    to drop a document for.
 
     `block_bytes` bounds one index: items are dealt into as many blocks as their
     bytes need. `chunk_chars` bounds the text that is looked up at once.
     """
 
     q: int = 12
-    pattern_chars: int = 100
-    step_chars: int = 50
+    pattern_chars: int = 50
+    step_chars: int = 10
     edit_rate: float = 0.05
     min_chars: int = 24
     block_bytes: int = 8 << 20
@@ -69,10 +74,11 @@ class Index:
         self.settings = settings
         self.patterns: list[tuple[int, str]] = []  # (item number, text)
         self.ids: list[int | None] = []
-        grams, owners, offsets = [], [], []
+        grams, owners, offsets, short = [], [], [], []
         for item_id, raw in items:
             text = normalise(raw)
             if len(text) < settings.min_chars:
+                short += [(item_id, text)] if text else []
                 continue
             m, step = settings.pattern_chars, settings.step_chars
             starts = [0] if len(text) <= m else [*range(0, len(text) - m, step), len(text) - m]
@@ -84,8 +90,13 @@ class Index:
                 offsets.append(np.arange(len(g)))
                 self.patterns.append((len(self.ids), pattern))
             self.ids.append(item_id)
-        self.empty = not grams
-        if self.empty:
+        self.n_long = len(self.patterns)
+        for item_id, text in short:
+            self.patterns.append((len(self.ids), text))
+            self.ids.append(item_id)
+        self.empty = not self.patterns
+        if not self.n_long:
+            self.budget = np.zeros(len(self.patterns), int)
             return
         order = np.argsort(np.concatenate(grams), kind="stable")
         self.grams = np.concatenate(grams)[order]
@@ -94,7 +105,7 @@ class Index:
         lengths = np.array([len(p) for _, p in self.patterns])
         # Short patterns get the largest budget for which the lemma still asks for a q-gram.
         q = settings.q
-        self.budget = np.minimum((lengths * settings.edit_rate).astype(int), (lengths - q) // q)
+        self.budget = np.minimum((lengths * settings.edit_rate).astype(int), np.maximum(lengths - q, 0) // q)
         self.needed = lengths + 1 - q - q * self.budget
         bits = max(16, int(np.ceil(np.log2(len(self.grams)))) + 6)
         self.shift = np.uint64(64 - min(bits, 28))
@@ -107,11 +118,21 @@ class Index:
         Long texts are met in pieces that overlap by more than a pattern with its
         edits, so every match lies in one piece; a match may be told twice.
         """
+        if not self.n_long:
+            return
         size, overlap = self.settings.chunk_chars, 2 * self.settings.pattern_chars + 2
         for at in range(0, max(1, len(text) - overlap), size):
             for p, start, end, edits in self._find(text[at : at + size + overlap]):
                 yield p, at + start, at + end, edits
 
+    def find_short(self, text: str) -> Iterator[tuple[int, int, int, int]]:
+        """The same for the items that are too short for patterns."""
+        for p in range(self.n_long, len(self.patterns)):
+            pattern = self.patterns[p][1]
+            if pattern in text:
+                for match in re.finditer(rf"(?<!\w){re.escape(pattern)}(?!\w)", text):
+                    yield p, match.start(), match.end(), 0
+
     def _find(self, text: str) -> Iterator[tuple[int, int, int, int]]:
         hashes = q_grams(code_points(text), self.settings.q)
         position = np.flatnonzero(self.seen[hashes >> self.shift])
@@ -217,7 +238,8 @@ def _search(rows: DataFrame, index: Index) -> DataFrame:
         out = []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             by_item: dict[int, list] = {}
-            for p, start, end, edits in index.find(normalise(text.as_py())):
+            normal = normalise(text.as_py())
+            for p, start, end, edits in chain(index.find(normal), index.find_short(normal)):
                 by_item.setdefault(index.patterns[p][0], []).append((p, start, end, edits))
             for item, hits in sorted(by_item.items()):
                 out.append(
@@ -250,6 +272,7 @@ SCHEMA = pa.schema(
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of `docs`, all columns, that hold no pattern of the benchmark.
 
+    Items shorter than `min_chars` drop nothing.
     Each block of the benchmark is one filter over batches: no join, no shuffle.
     """
     spark, at = docs.sparkSession, docs.columns.index("text")

@@ -164,6 +164,22 @@ def test_empty_tables_leak_nothing(spark, leak_case):
     assert decontaminate.leaks(frame(spark, []), frame(spark, items, "item_id long, text string")).count() == 0
 
 
+def test_every_passage_of_the_stated_length_and_short_items_are_found(spark):
+    settings = decontaminate.Settings()
+    size = settings.pattern_chars + settings.step_chars - 1
+    assert size <= 60
+    item = decontaminate.normalise(prose(300, 60))
+    index = decontaminate.Index([(1, item), (2, "Paris, France"), (3, "forty two")], settings)
+    for at in range(len(item) - size + 1):
+        text = prose(at, 20) + " #" + item[at : at + size] + "# " + prose(at + 1, 20)
+        assert {index.patterns[p][0] for p, *_ in index.find(decontaminate.normalise(text))} == {0}, at
+    docs = [(0, "It is PARIS,\nFrance."), (1, "forty twofold"), (2, "forty two"), (3, prose(9, 40))]
+    items = frame(spark, [(2, "Paris, France"), (3, "forty two"), (4, " ")], "item_id long, text string")
+    found = decontaminate.leaks(frame(spark, docs), items).collect()
+    assert {(r.doc_id, r.item_id, r.start, r.end) for r in found} == {(0, 2, 6, 19), (2, 3, 0, 9)}
+    assert decontaminate.drop_leaks(frame(spark, docs), items).count() == 4
+
+
 # --- suffix dedup ------------------------------------------------------------
 
 
