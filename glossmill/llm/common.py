@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -89,3 +90,15 @@ def _fingerprint(edges: DataFrame) -> tuple[int, int | None]:
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")
     ).first()
     return row["n"], row["x"]
+
+
+def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a string array without nulls, not copied, and where each text starts; one offset more at the end."""
+    wide = pa.types.is_large_string(texts.type)
+    _, offsets, data = texts.buffers()
+    kind, n = (np.int64 if wide else np.int32), len(texts)
+    if offsets is None or not n:
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    places = np.frombuffer(offsets, kind)[texts.offset : texts.offset + n + 1].astype(np.int64)
+    values = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return values[places[0] : places[-1]], places - places[0]

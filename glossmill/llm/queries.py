@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from glossmill.llm import (
+    audit,
     decontaminate,
     html,
+    licenses,
+    middle,
     mixing,
     pii,
     quality,
@@ -20,6 +23,9 @@ from glossmill.llm import (
     tokens,
 )
 from glossmill.llm.common import table
+from glossmill.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +96,50 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "row.doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = found.withColumn("base", licenses.base_places(F.col("detections")))
+    return base.select(
+        "row.doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.first_word").alias("first_word"),
+        F.array_max("base.first_word").alias("last_word"),
+        licenses.joined_labels(F.col("base")).alias("base_labels"),
+        licenses.joined_labels(F.col("detections")).alias("labels"),
+        "score",
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = audit.find_failures(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return audit.audit(found).select(
+        "part",
+        "filter_order",
+        "step",
+        "kept",
+        "removed",
+        "redundant",
+        "unique_fails",
+        "good_lost",
+        "toxic_lost",
+        "shapley",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
@@ -101,6 +151,7 @@ QUERIES: dict[str, Query] = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_secret_scan": op9_secret_scan,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_license_scan": op12_license_scan,
+    "op13_filter_audit": op13_filter_audit,
 }
-
-ORACLES: dict[str, str] = {}
