@@ -1,5 +1,6 @@
 import base64
 import gzip
+import os
 import random
 
 import pytest
@@ -133,17 +134,16 @@ def test_large_blocks_are_parts_with_every_line(spark, tmp_path, conf, split_byt
         assert all(sum(len(x) + LINE_BYTES for x in r.lines) <= 1.25 * limit + 2 * longest for r in rows)
 
 
-def test_the_text_is_shuffled_at_most_twice(spark, tmp_path, conf):
-    """By split for the window, and by block; the split table is small."""
+def test_only_borders_of_splits_are_shuffled(spark, tmp_path, conf):
     conf("spark.sql.files.maxPartitionBytes", "20000")
     path = write(tmp_path / "a.txt", random_text(6, 3000))
     df = group_blocks(scan_lines(spark, path))
     assert len(df.collect()) == 3000
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    # The lines and the split table, once each.
-    assert plan.count("FileScan text") == 2
-    shuffled = shuffle_bytes(df)
-    assert sum(shuffled) < 2.2 * max(shuffled)
+    # Closed blocks, pieces of open ones, and the split table.
+    assert plan.count("FileScan text") == 3
+    size = os.path.getsize(path)
+    assert size > 300_000 and sum(shuffle_bytes(df)) < size / 4
 
 
 def shuffle_bytes(df):
@@ -210,12 +210,64 @@ def test_changed_splits_fail_instead_of_losing_lines(spark, tmp_path, conf):
 
     from glossmill.operators import blocks as module
 
-    path = write(tmp_path / "a.txt", random_text(4, 20))
+    path = write(tmp_path / "a.txt", random_text(4, 20) + "open")
     lines = scan_lines(spark, path)
-    table = module._split_table
-    module._split_table = lambda df, limit: table(df, limit).withColumn("split", F.col("split") + 1)
+    table = module._SPLITS
+    module._SPLITS = table.replace("SELECT path, split, count_if", "SELECT path, split + 1 AS split, count_if")
     try:
         with pytest.raises(PySparkException, match="file splits changed"):
             group_blocks(lines).collect()
     finally:
-        module._split_table = table
+        module._SPLITS = table
+
+
+@pytest.mark.parametrize("split_bytes", ["60", "500", "128m"])
+def test_verdict_and_bytes_do_not_depend_on_the_limit(spark, tmp_path, conf, split_bytes):
+    """One bad line anywhere rejects every part of its block; so does the size of the block."""
+    conf("spark.sql.files.maxPartitionBytes", split_bytes)
+    sizes = {}
+    for bad in (None, 0, 1, 2, 20, 38, 39):
+        rows = [f"line {i:04} of {bad}".encode() for i in range(40)]
+        if bad is not None:
+            rows[bad] += b"\xff"
+        (tmp_path / f"{bad}.txt").write_bytes(b"id\nt\ns\n\n" + b"\n".join(rows) + b"\n\nlonely\n")
+        sizes[f"line 0000 of {bad}"[:18]] = bad
+    for limit in (100, 600, 5000, 10**9):
+        lines = scan_lines(spark, str(tmp_path))
+        rows = parse_blocks(group_blocks(lines, max_block_bytes=limit), max_record_bytes=10_000).collect()
+        blocks = {}
+        for r in rows:
+            blocks.setdefault((r.path, r.block_no), []).append(r)
+        assert len(blocks) == 21
+        for parts in blocks.values():
+            parts.sort(key=lambda r: r.part or 0)
+            lines_of = [x for r in parts for x in r.lines]
+            n_bad = sum("\ufffd" in x for x in lines_of)
+            expected = "invalid_utf8" if n_bad else "missing_tags" if lines_of == ["lonely"] else None
+            assert {r.reason for r in parts} == {expected}
+            assert {r.block_bytes for r in parts} == {sum(r.bytes for r in parts)}
+            assert sum(r.bytes for r in parts) == sum(len(x.encode()) for x in lines_of)
+            assert sum(x is not None for r in parts for x in r.raw or []) == n_bad
+            assert all(r.raw is None or len(r.raw) == len(r.lines) for r in parts)
+            assert len(lines_of) in (1, 3, 40) and (len(parts) > 1) == (len(lines_of) == 40 and limit < 2700)
+        over = parse_blocks(group_blocks(lines, max_block_bytes=limit), max_record_bytes=500)
+        assert {tuple(r) for r in over.filter("size(lines) > 1 AND head[0] != 'id' AND valid").select("reason").collect()} == {("oversize_record",)}
+
+
+def test_lines_out_of_order_are_refused(spark, tmp_path):
+    path = write(tmp_path / "a.txt", random_text(8, 50))
+    lines = scan_lines(spark, path)
+    with pytest.raises(Exception, match="whole and in order"):
+        group_blocks(lines.filter("line != 'id3'")).collect()
+
+
+def test_batches_do_not_change_blocks(spark, tmp_path, conf):
+    path = write(tmp_path / "a.txt", "x\n" * 30 + "\n" + random_text(9, 200) + "y\n" * 30)
+    for batch, split, limit in (("1", "300", 500), ("2", "128m", 100), ("3", "700", 2000), ("7", "128m", 10**6)):
+        conf("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        conf("spark.sql.files.maxPartitionBytes", split)
+        rows = group_blocks(scan_lines(spark, path), max_block_bytes=limit).orderBy("block_no", "part").collect()
+        blocks = {}
+        for r in rows:
+            blocks.setdefault(r.block_no, []).extend(r.lines)
+        assert list(blocks.values()) == blocks_of(path)
