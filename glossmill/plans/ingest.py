@@ -7,15 +7,14 @@ import importlib
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from glossmill.operators.annotate import ERRORS_TYPE, Annotator, annotate, annotate_with
+from glossmill.operators.annotate import Annotator, annotate, annotate_with
 from glossmill.operators.blocks import MAX_BLOCK_BYTES, group_blocks
 from glossmill.operators.parse import parse_blocks
-from glossmill.operators.typed import enforce_schema
 from glossmill.schemas import QUARANTINE_SCHEMA, STORED_SCHEMA
-from glossmill.session import get_session
-from glossmill.sources.records import write_records
+from glossmill.session import get_session, settings, split_settings
+from glossmill.sources.records import split_outcomes, staged
 from glossmill.sources.text import scan_lines
 
 # Where the job reads and writes by default.
@@ -23,6 +22,8 @@ DEFAULT_SRC = "/data/abstracts/test.txt"
 DEFAULT_DEST = "/data/test.json"
 
 KEYS = ("path", "block_no", "part")
+# The partition column of the one write; its folders become the two outputs.
+OUTCOME = "outcome"
 
 # Every map task keeps an index entry per shuffle partition and the second shuffle
 # has a block per pair of partitions, so the width cannot follow the input for ever.
@@ -44,51 +45,82 @@ def ingest(
     max_record_bytes: int | None = None,
     partitions: int | None = None,
     ordered: bool = False,
+    max_width: int = MAX_WIDTH,
 ) -> dict[str, int]:
     """Read `src`, write nested records to `dest`, and count the rows written.
 
     A record larger than `max_block_bytes` is several rows with the same id and tags
-    and a `part` number; the field is NULL, so absent from JSON, for whole records.
-    Bad blocks go to `quarantine` (default: `dest` + ".quarantine") with a
-    reason; the corpus is grouped again for them only if the first pass saw any.
-    `partitions` spreads records over more tasks than the grouping shuffle gives,
+    and a `part` number; the field is NULL, so absent from JSON, for whole records. A
+    block is good or bad as a whole, whatever the limit.
+    Bad blocks go to `quarantine` (default: `dest` + ".quarantine") with a reason. Both
+    come from one write, and replace what was there before together: after a failure both
+    folders are as they were. Parquet files of either have the columns of both, NULL
+    where they are the other's; the declared schemas leave those out.
+    `partitions` spreads records over more tasks than the splits and the shuffle give,
     for an expensive annotator. `ordered` writes records in file order, for the
     price of a range shuffle. `_errors` of a plug-in annotator is written next to
-    the record fields; JSON leaves it out of clean records.
+    the record fields; JSON leaves it out of clean records. Settings of the session
+    that the job needs are put back when it ends.
     """
     lines = scan_lines(spark, src)
-    blocks = parse_blocks(group_blocks(lines, keep_unterminated, max_block_bytes), max_record_bytes)
+    held = split_settings(spark) | {
+        # Both outcomes are open in a task at once, so rows need no sort by outcome and keep their order.
+        "spark.sql.maxConcurrentOutputFileWriters": "4",
+    }
+    with settings(spark, held), shuffle_width(spark, lines, max_width):
+        blocks = parse_blocks(group_blocks(lines, keep_unterminated, max_block_bytes), max_record_bytes)
+        rows = _outcomes(blocks)
+        # A plug-in and the shape rules keep the order of their input, re-nesting does not.
+        renests = annotator is None and lexicon is not None
+        if ordered and not renests:
+            rows = _in_file_order(rows, partitions)
+        elif partitions:
+            rows = rows.repartition(partitions)
+
+        if annotator is None:
+            annotated = annotate(rows, lexicon, KEYS)
+        else:
+            annotated = annotate_with(rows, annotator)
+        if ordered and renests:
+            annotated = _in_file_order(annotated, partitions)
+        return _write_outcomes(annotated, dest, quarantine or f"{dest.rstrip('/')}.quarantine", fmt)
+
+
+def _outcomes(blocks: DataFrame) -> DataFrame:
+    """`id, tags, texts` of good blocks and the quarantine columns of bad ones, each NULL in the other's rows."""
+    good = F.col("reason").isNull()
+    return blocks.select(
+        *KEYS,
+        *[F.when(good, F.col(c)).alias(c) for c in ("id", "tags", "texts")],
+        "reason",
+        *[F.when(~good, F.col(c)).alias(c) for c in ("lines", "raw")],
+    )
+
+
+def _write_outcomes(rows: DataFrame, dest: str, quarantine: str, fmt: str) -> dict[str, int]:
+    """One write of both outcomes, put in place together; counted in the tasks that write, where a retry counts once."""
+    rejected = F.col("reason").isNotNull()
+    fields = [f for f in (*STORED_SCHEMA.names, "_errors") if f in rows.columns]
+    others = [f for f in QUARANTINE_SCHEMA.names if f not in fields]
+    places = [F.when(rejected, F.col(c)).alias(c) for c in ("path", "block_no")]
+    typed = rows.select(
+        *fields,
+        *places,
+        *[c for c in others if c not in ("path", "block_no")],
+        F.when(rejected, "rejected").otherwise("record").alias(OUTCOME),
+    )
+    for field in STORED_SCHEMA:
+        if typed.schema[field.name].dataType != field.dataType:
+            typed = typed.withColumn(field.name, F.col(field.name).cast(field.dataType))
     seen = Observation()
-    records = (
-        blocks.observe(seen, F.count("reason").alias("rejected"))
-        .filter("reason IS NULL")
-        .select(*KEYS, "id", "tags", "texts")
+    counted = typed.observe(
+        seen, F.count_if(~rejected).alias("records"), F.count_if(rejected).alias("quarantined")
     )
-    # A plug-in and the shape rules keep the order of their input, re-nesting does not.
-    if ordered and lexicon is None:
-        records = _in_file_order(records, partitions)
-    elif partitions:
-        records = records.repartition(partitions)
-
-    schema = STORED_SCHEMA
-    if annotator is None:
-        annotated = annotate(records, lexicon, KEYS)
-    else:
-        annotated = annotate_with(records, annotator)
-        schema = T.StructType([*STORED_SCHEMA.fields, T.StructField("_errors", ERRORS_TYPE)])
-    if ordered and lexicon is not None:
-        annotated = _in_file_order(annotated, partitions)
-    typed = enforce_schema(annotated.drop("path", "block_no"), schema)
-
-    with shuffle_width(spark, lines):
-        written = _write_counted(typed, dest, fmt)
-        rejected = spark.createDataFrame([], QUARANTINE_SCHEMA)
-        # Upstream of a shuffle a metric can count a row twice, when a stage is
-        # sampled or run again, but it cannot miss one.
-        if seen.get["rejected"]:
-            rejected = quarantined(blocks)
-        set_aside = _write_counted(rejected, quarantine or f"{dest.rstrip('/')}.quarantine", fmt)
-    return {"records": written, "quarantined": set_aside}
+    with staged(rows.sparkSession, [dest, quarantine]) as (records_stage, rejected_stage):
+        both = f"{records_stage}.both"
+        counted.write.partitionBy(OUTCOME).format(fmt).save(both)
+        split_outcomes(rows.sparkSession, both, OUTCOME, {"record": records_stage, "rejected": rejected_stage})
+        return dict(seen.get)
 
 
 def _in_file_order(df: DataFrame, partitions: int | None) -> DataFrame:
@@ -97,20 +129,13 @@ def _in_file_order(df: DataFrame, partitions: int | None) -> DataFrame:
     return df.orderBy(*KEYS)
 
 
-def _write_counted(df: DataFrame, dest: str, fmt: str) -> int:
-    """Write, and count in the tasks that write, where a retry is not counted again."""
-    rows = Observation()
-    write_records(df.observe(rows, F.count("*").alias("n")), dest, fmt)
-    return rows.get["n"]
-
-
 def quarantined(parsed: DataFrame) -> DataFrame:
     """Rejected blocks with their lines, and the raw bytes of those that are not UTF-8."""
     return parsed.filter("reason IS NOT NULL").select(*QUARANTINE_SCHEMA.names)
 
 
 @contextmanager
-def shuffle_width(spark: SparkSession, lines: DataFrame) -> Iterator[None]:
+def shuffle_width(spark: SparkSession, lines: DataFrame, max_width: int = MAX_WIDTH) -> Iterator[None]:
     """Give shuffles about one partition per file split while a job runs.
 
     Adaptive execution merges small shuffle partitions but never adds any, so
@@ -118,12 +143,9 @@ def shuffle_width(spark: SparkSession, lines: DataFrame) -> Iterator[None]:
     input. A session that asks for more than this keeps its setting.
     """
     key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(max(int(before), min(lines.rdd.getNumPartitions(), MAX_WIDTH))))
-    try:
+    width = max(int(spark.conf.get(key)), min(lines.rdd.getNumPartitions(), max_width))
+    with settings(spark, {key: str(width)}):
         yield
-    finally:
-        spark.conf.set(key, before)
 
 
 def _load(name: str) -> Callable[[], Annotator]:
@@ -145,6 +167,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--annotator", help="module:factory of a plug-in annotator")
     parser.add_argument("--max-block-bytes", type=int, default=MAX_BLOCK_BYTES)
     parser.add_argument("--max-record-bytes", type=int)
+    parser.add_argument("--max-width", type=int, default=MAX_WIDTH, help="most shuffle partitions")
     args = parser.parse_args(argv)
 
     spark = get_session("ingest")
@@ -161,6 +184,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         annotator=_load(args.annotator) if args.annotator else None,
         max_block_bytes=args.max_block_bytes,
         max_record_bytes=args.max_record_bytes,
+        max_width=args.max_width,
     )
     print(counts)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -22,17 +24,35 @@ def get_session(app_name: str = "glossmill", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def pin_split_plan(spark: SparkSession) -> None:
-    """Keep file splits the same for every scan of this session.
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Settings of the session that hold inside a `with` block, and are put back after it.
+
+    What was unset is unset again, also where the block fails. Spark plans a query when its
+    result is asked for, so the action has to be inside the block. A session has one set of
+    settings: give threads that run such blocks at once a session each.
+    """
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def split_settings(spark: SparkSession) -> dict[str, str]:
+    """Settings that keep file splits the same for all scans inside a `settings` block.
 
     On inputs small enough that a split is total bytes / cores, Spark takes the
     core count at planning time, so two scans of one file are cut differently
-    when executors join or leave between them. Block grouping scans twice and
-    matches the scans on split offsets.
+    when executors join or leave between them. Block grouping scans several times and
+    matches the scans on split offsets; where they differ it fails.
     """
-    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        cores = spark.sparkContext.defaultParallelism
-        spark.conf.set("spark.sql.files.minPartitionNum", str(cores))
+    key = "spark.sql.files.minPartitionNum"
+    given = spark.conf.get(key, None)
+    return {key: given or str(spark.sparkContext.defaultParallelism)}
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

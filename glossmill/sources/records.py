@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from glossmill.operators.typed import violation
@@ -16,6 +21,124 @@ def write_records(df: DataFrame, dest: str, fmt: str = "json") -> None:
     df.write.mode("overwrite").format(fmt).save(dest)
 
 
+@contextmanager
+def staged(spark: SparkSession, targets: Sequence[str]) -> Iterator[list[str]]:
+    """Folders to write to, one per target, which replace the targets together or not at all.
+
+    The staged folders lie next to their targets. When the block ends, a marker next to the
+    first target says what is about to happen, the old folders are moved aside, the
+    new ones moved in, and the marker and the old folders deleted. If the block or a move fails, the old folders are
+    put back; if the driver is lost in between, `recover` puts them back. A move is one
+    operation of the file system where that has one, such as HDFS; an object store copies.
+    """
+    targets = [t.rstrip("/") for t in targets]
+    recover(spark, targets[0])
+    run = uuid.uuid4().hex
+    stages = [f"{t}.staged-{run}" for t in targets]
+    moves = [(stage, t, f"{t}.old-{run}") for stage, t in zip(stages, targets)]
+    files = _files(spark, targets[0])
+    try:
+        yield stages
+        for stage in stages:
+            files.mkdirs(stage)
+        files.write(_marker(targets[0]), json.dumps(moves))
+        for _, target, old in moves:
+            if files.exists(target):
+                files.move(target, old)
+        for stage, target, _ in moves:
+            files.move(stage, target)
+        # From here on the new folders are the right ones.
+        files.delete(_marker(targets[0]))
+    except BaseException:
+        recover(spark, targets[0])
+        for stage in stages:
+            files.delete(stage)
+            files.delete(f"{stage}.both")
+        raise
+    for _, _, old in moves:
+        files.delete(old)
+
+
+def split_outcomes(spark: SparkSession, src: str, column: str, places: Mapping[str, str]) -> None:
+    """Move the folders of a write partitioned by `column` to one place per value; one without rows is left empty."""
+    files = _files(spark, src)
+    for value, place in places.items():
+        part = f"{src}/{column}={value}"
+        files.move(part, place) if files.exists(part) else files.mkdirs(place)
+        files.write(f"{place}/_SUCCESS", "")
+    files.delete(src)
+
+
+def recover(spark: SparkSession, target: str) -> bool:
+    """Put back what an interrupted `staged` left half replaced; whether there was such a thing."""
+    marker = _marker(target.rstrip("/"))
+    files = _files(spark, target)
+    if not files.exists(marker):
+        return False
+    text = files.read(marker)
+    # A marker that is cut off was never acted on.
+    for stage, place, old in json.loads(text) if text.endswith("]]") else []:
+        # The staged folder is there until it was moved in.
+        if files.exists(place) and not files.exists(stage):
+            files.move(place, stage)
+        if files.exists(old):
+            files.move(old, place)
+        files.delete(stage)
+    files.delete(marker)
+    return True
+
+
+def _marker(target: str) -> str:
+    folder, _, name = target.rpartition("/")
+    return f"{folder}/_{name}.replacing" if folder else f"_{name}.replacing"
+
+
+class _files:
+    """The few operations on folders that `staged` needs, on whatever store the path names."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._conf = spark._jsc.hadoopConfiguration()
+        self._io = spark._jvm.org.apache.commons.io.IOUtils
+
+    def _at(self, path: str) -> tuple:
+        place = self._path(path)
+        return place.getFileSystem(self._conf), place
+
+    def exists(self, path: str) -> bool:
+        store, place = self._at(path)
+        return store.exists(place)
+
+    def mkdirs(self, path: str) -> None:
+        store, place = self._at(path)
+        store.mkdirs(place)
+
+    def move(self, path: str, to: str) -> None:
+        store, place = self._at(path)
+        if not store.rename(place, self._path(to)):
+            raise OSError(f"cannot move {path} to {to}")
+
+    def delete(self, path: str) -> None:
+        store, place = self._at(path)
+        store.delete(place, True)
+
+    def write(self, path: str, text: str) -> None:
+        store, place = self._at(path)
+        stream = store.create(place, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+    def read(self, path: str) -> str:
+        store, place = self._at(path)
+        stream = store.open(place)
+        try:
+            return self._io.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+
 def read_records(
     spark: SparkSession, src: str, schema: T.StructType = RECORD_SCHEMA, fmt: str = "json"
 ) -> DataFrame:

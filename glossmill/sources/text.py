@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from glossmill.functions.text import strip
-from glossmill.session import pin_split_plan
 
 
 def scan_lines(spark: SparkSession, src: str | list[str]) -> DataFrame:
@@ -14,10 +13,10 @@ def scan_lines(spark: SparkSession, src: str | list[str]) -> DataFrame:
     Columns: `path`; `split`, the byte offset at which the file split starts;
     `row`, increasing within a split; `line`; `valid`, false when the raw bytes
     are not UTF-8 (`line` then holds replacement characters, and `raw` the bytes in
-    base64; it is NULL for valid lines). `(split, row)` is file order. A line ends
-    at LF, CR LF or CR.
+    base64; it is NULL for valid lines). `(split, row)` is file order, and rows of a split
+    are consecutive numbers. A line ends at LF, CR LF or CR. The session is left as it is;
+    see `session.split_settings` for plans with several scans.
     """
-    pin_split_plan(spark)
     return spark.read.text(src).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("split"),
@@ -28,6 +27,24 @@ def scan_lines(spark: SparkSession, src: str | list[str]) -> DataFrame:
     )
 
 
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Add `number`, the place of a line in its file from 1, to whole `scan_lines` output.
+
+    The rows of a split are consecutive, so a line has as many lines before it as the earlier
+    splits of its file, plus its distance from the first row of its own. Only one
+    row per split is shuffled, aggregated map-side from a scan that reads no text out.
+    """
+    in_file = W.partitionBy("path").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+    splits = (
+        lines.groupBy("path", "split")
+        .agg(F.min("row").alias("first_row"), F.count("*").alias("n"))
+        .select("path", "split", "first_row", F.coalesce(F.sum("n").over(in_file), F.lit(0)).alias("lines_before"))
+    )
+    changed = F.raise_error(F.lit("file splits changed between scans")).cast("long")
+    number = F.coalesce("lines_before", changed) + F.col("row") - F.col("first_row") + 1
+    return lines.join(splits, ["path", "split"], "left").select(*lines.columns, number.alias("number"))
+
+
 def write_blocks(df: DataFrame, lines: Column, dest: str) -> None:
     """Write one blank-line-terminated block per row; `lines` is an array column.
 

@@ -43,7 +43,7 @@ def test_records_in_file_order(spark, corpus, tmp_path, conf, partitions, with_l
     assert [r["id"] for r in rows] == [r[0] for r in records_of(corpus)]
 
 
-def test_shuffle_width_follows_the_splits_and_is_restored(spark, corpus, conf, monkeypatch):
+def test_shuffle_width_follows_the_splits_and_is_restored(spark, corpus, conf):
     key = "spark.sql.shuffle.partitions"
     conf("spark.sql.files.maxPartitionBytes", "1000")
     before = spark.conf.get(key)
@@ -52,8 +52,7 @@ def test_shuffle_width_follows_the_splits_and_is_restored(spark, corpus, conf, m
     assert splits > 20
     with shuffle_width(spark, lines):
         assert int(spark.conf.get(key)) >= 20
-    monkeypatch.setattr("glossmill.plans.ingest.MAX_WIDTH", 9)
-    with shuffle_width(spark, lines):
+    with shuffle_width(spark, lines, 9):
         assert spark.conf.get(key) == "9"
     conf(key, "300")
     with shuffle_width(spark, lines):
@@ -143,3 +142,45 @@ def test_command_line(spark, corpus, tmp_path, capsys):
     assert "'records': 400" in capsys.readouterr().out
     assert found(spark, dest, "parquet") == sorted(records_of(corpus))
     assert read_records(spark, dest, fmt="parquet").schema.names == RECORD_SCHEMA.names
+
+
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_a_failed_run_leaves_both_outputs_as_they_were(spark, tmp_path, fmt):
+    def factory():
+        def run(texts):
+            import os
+
+            raise KeyboardInterrupt if os.path.exists(bomb) else ValueError
+
+        return run
+
+    bomb = str(tmp_path / "bomb")
+    path = write(tmp_path / "a.txt", "id1\nt\ns\n\nlonely\n\n")
+    dest, schema = str(tmp_path / "out"), "reason string, lines array<string>"
+    read = lambda: (found(spark, dest, fmt), spark.read.schema(schema).format(fmt).load(f"{dest}.quarantine").collect())
+    settings_before = dict(spark.conf.getAll)
+    assert ingest(spark, path, dest, fmt=fmt) == {"records": 1, "quarantined": 1}
+    before = read()
+    assert [tuple(r) for r in before[1]] == [("missing_tags", ["lonely"])]
+    write(tmp_path / "bomb", "")
+    other = write(tmp_path / "b.txt", "id2\nt\ns\n\n")
+    with pytest.raises(Exception):
+        ingest(spark, other, dest, fmt=fmt, annotator=factory)
+    assert read() == before
+    assert dict(spark.conf.getAll) == settings_before
+    left = sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith("."))
+    assert left == ["a.txt", "b.txt", "bomb", "out", "out.quarantine"]
+
+
+def test_bad_blocks_add_no_scan(spark, tmp_path):
+    """Good and bad blocks come from one write of one plan."""
+    path = write(tmp_path / "a.txt", "id1\nt\ns\n\nlonely\n\n" * 50)
+    jobs = spark.sparkContext.statusTracker()
+    group = "ingest-once"
+    spark.sparkContext.setJobGroup(group, group)
+    ingest(spark, path, str(tmp_path / "out"))
+    with_bad = len(jobs.getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup(group + "2", group)
+    ingest(spark, write(tmp_path / "b.txt", "id1\nt\ns\n\n" * 100), str(tmp_path / "out2"))
+    assert with_bad == len(jobs.getJobIdsForGroup(group + "2"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

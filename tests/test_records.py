@@ -18,7 +18,7 @@ from glossmill import (
     write_records,
 )
 from glossmill.sources.records import read_checked, read_strict
-from glossmill.session import get_session, pin_split_plan, shared_path
+from glossmill.session import get_session, settings, shared_path, split_settings
 
 FULL = ("N1", ["a"], [("x y", ["x", "y"], ["x", "y"], ["X", "X"], ["XX", "XX"], ["d", "e"]), ("", [], [], [], [], [])])
 NO_DEP = ("N2", [], [("x", ["x"], ["x"], ["X"], ["XX"], None)])
@@ -191,12 +191,21 @@ def test_distribute_widens_only_narrow_scans(spark):
     assert distribute(wide, 4) is wide
 
 
-def test_session(spark, conf):
+def test_session(spark):
     assert get_session() is spark or get_session().sparkContext is spark.sparkContext
-    pin_split_plan(spark)
-    pinned = spark.conf.get("spark.sql.files.minPartitionNum")
-    pin_split_plan(spark)
-    assert spark.conf.get("spark.sql.files.minPartitionNum") == pinned == "4"
+
+
+def test_settings_are_put_back(spark, conf):
+    held, unset = "spark.sql.shuffle.partitions", "spark.sql.files.minPartitionNum"
+    conf(held, "7")
+    assert spark.conf.get(unset, None) is None
+    assert split_settings(spark) == {unset: "4"}
+    with pytest.raises(ValueError), settings(spark, {held: "9", **split_settings(spark)}):
+        assert (spark.conf.get(held), spark.conf.get(unset)) == ("9", "4")
+        raise ValueError
+    assert (spark.conf.get(held), spark.conf.get(unset, None)) == ("7", None)
+    conf(unset, "3")
+    assert split_settings(spark) == {unset: "3"}
 
 
 def test_shared_path_is_in_the_checkpoint_folder(spark):
@@ -228,3 +237,59 @@ def test_no_machine_local_folder_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_path(Cluster, "x")
+
+
+def written(folder):
+    return {p.name: p.read_text() for p in folder.iterdir() if not p.name.startswith(".")}
+
+
+def test_staged_folders_replace_both_or_none(spark, tmp_path, monkeypatch):
+    from glossmill.sources import records as module
+
+    places = [tmp_path / "a", tmp_path / "b"]
+    targets = [str(p) for p in places]
+
+    def write(text):
+        with module.staged(spark, targets) as stages:
+            for stage in stages:
+                os.makedirs(stage)
+                with open(f"{stage}/x", "w") as file:
+                    file.write(text)
+
+    write("one")
+    write("two")
+    assert [written(p) for p in places] == [{"x": "two"}] * 2
+
+    # A failure in the block, and one at each of the moves.
+    with pytest.raises(ValueError), module.staged(spark, targets):
+        raise ValueError
+    move, count = module._files.move, [0]
+    for fail_at in range(1, 5):
+        count[0] = 0
+
+        def broken(self, path, to):
+            count[0] += 1
+            if count[0] == fail_at:
+                raise OSError("lost")
+            move(self, path, to)
+
+        monkeypatch.setattr(module._files, "move", broken)
+        with pytest.raises(OSError, match="lost"):
+            write("three")
+        monkeypatch.setattr(module._files, "move", move)
+        assert [written(p) for p in places] == [{"x": "two"}] * 2
+        assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["a", "b"]
+
+    # The driver is lost after each move: nothing is put back until the next run or `recover`.
+    for fail_at in range(1, 5):
+        count[0] = 0
+        monkeypatch.setattr(module._files, "move", broken)
+        monkeypatch.setattr(module, "recover", lambda *a: False)
+        monkeypatch.setattr(module._files, "delete", lambda *a: None)
+        with pytest.raises(OSError):
+            write("four")
+        monkeypatch.undo()
+        assert module.recover(spark, targets[0]) and not module.recover(spark, targets[0])
+        assert [written(p) for p in places] == [{"x": "two"}] * 2
+    write("five")
+    assert [written(p) for p in places] == [{"x": "five"}] * 2
