@@ -17,22 +17,96 @@ ERRORS_TYPE = T.ArrayType(
 Annotator = Callable[[list[str]], list[dict]]
 
 
+# A lexicon of more than this, measured, is joined and not sent to every task.
+MAX_LOOKUP_BYTES = 64 * 1024 * 1024
+
+
 def annotate(
-    records: DataFrame, lexicon: DataFrame | None = None, keys: Sequence[str] = ("path", "block_no")
+    records: DataFrame,
+    lexicon: DataFrame | None = None,
+    keys: Sequence[str] = ("path", "block_no"),
+    max_lookup_bytes: int = MAX_LOOKUP_BYTES,
 ) -> DataFrame:
     """Replace `texts` (array of sentences) by `sentences` (array of annotated structs).
 
     Without a lexicon the annotation is a projection: no join and no shuffle.
     With one (`form, lemma, pos1, pos2`, one row per form), tokens take its
-    lemma and tags, and the shape rules fill in for unknown forms. `keys` must
-    then identify a record. `dep` is NULL either way; only a plug-in of
-    `annotate_with` fills it.
+    lemma and tags, and the shape rules fill in for unknown forms. The text of the lexicon is
+    measured first, by a job of its own. Up to `max_lookup_bytes`, records stay where they are and
+    the forms of many are looked up at once. Beyond that, tokens become rows that are
+    joined with it; `keys` must then identify a record. `dep` is NULL either way; only a
+    plug-in of `annotate_with` fills it.
     """
     if lexicon is None:
         return records.withColumn("sentences", shape_sentences(F.col("texts"))).drop("texts")
+    if lexicon_bytes(lexicon) <= max_lookup_bytes:
+        return _annotate_by_lookup(records, lexicon)
     return _annotate_from_lexicon(records, lexicon, list(keys))
 
 
+def lexicon_bytes(lexicon: DataFrame) -> int:
+    """Bytes of the strings of a lexicon, and eight more for each."""
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)) + 8 for c in ("form", "lemma", "pos1", "pos2")]
+    return lexicon.agg(F.sum(sum(sizes[1:], sizes[0]).cast("long"))).first()[0] or 0
+
+
+def _annotate_by_lookup(records: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """Looks the forms of a batch of records up in one call; no row per token and no shuffle."""
+    names = ("lemma", "pos1", "pos2")
+    table = lexicon.select("form", *names).filter("form IS NOT NULL").toArrow().combine_chunks()
+    shared = records.sparkSession.sparkContext.broadcast(table)
+    readings = T.StructType([T.StructField(n, T.ArrayType(T.ArrayType(T.StringType()))) for n in names])
+
+    def look_up(forms):  # type: ignore[no-untyped-def]
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def lists(like: pa.Array, values: pa.Array) -> pa.Array:
+            """`values` in lists as long as those of `like`."""
+            lengths = pc.fill_null(pc.list_value_length(like), 0).to_numpy(zero_copy_only=False)
+            offsets = pa.array(np.append(0, np.cumsum(lengths)), pa.int32())
+            return pa.ListArray.from_arrays(offsets, values, mask=pc.is_null(like))
+
+        sentences = forms.flatten()
+        flat = sentences.flatten()
+        known = shared.value
+        places = pc.index_in(flat, known["form"])
+        found = [known[n].combine_chunks().take(places) for n in names]
+        # The lemma of an unknown form is the form.
+        found[0] = pc.coalesce(found[0], flat)
+        return pa.StructArray.from_arrays([lists(forms, lists(sentences, x)) for x in found], names)
+
+    look_up.__annotations__ = _arrow_types()
+    looked_up = F.arrow_udf(look_up, readings)
+    tokenised = records.withColumn("_token", F.transform("texts", tokens))
+    lowered = F.transform("_token", lambda ts: F.transform(ts, shape_lemma))
+    found = tokenised.withColumn("_found", looked_up(lowered))
+
+    def filled(name: str, at: Column, token: Column, shape: Callable[[Column], Column]) -> Column:
+        known = F.get(F.col(f"_found.{name}"), at)
+        return F.zip_with(token, known, lambda t, k: F.coalesce(k, shape(t))).alias(name)
+
+    def sentence(text: Column, at: Column) -> Column:
+        token = F.get("_token", at)
+        return F.struct(
+            text.alias("text"),
+            token.alias("token"),
+            F.get(F.col("_found.lemma"), at).alias("lemma"),
+            filled("pos1", at, token, shape_pos1),
+            filled("pos2", at, token, shape_pos2),
+            F.lit(None).cast("array<string>").alias("dep"),
+        )
+
+    return found.withColumn("sentences", F.transform("texts", sentence)).drop("texts", "_token", "_found")
+
+
+def _arrow_types() -> dict[str, type]:
+    import pyarrow as pa
+
+    return {"forms": pa.Array, "return": pa.Array}
+
+
 def shape_sentences(texts: Column) -> Column:
     """Array of sentence texts -> array of sentence structs, by the shape rules."""
     tokenised = F.transform(texts, lambda t: F.struct(t.alias("text"), tokens(t).alias("token")))
@@ -75,13 +149,14 @@ def tag_tokens(flat_tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
 
 def _annotate_from_lexicon(records: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
     carried = [c for c in records.columns if c not in (*keys, "texts")]
+    records = records.withColumn("_none", F.col("texts").isNull())
     # Whole records are placed by key before they are exploded. A broadcast join
     # keeps that placement, so both regroupings below need no shuffle, and what
     # moves is sentence text and not token rows. The second repartition matters
     # only after a sort-merge join; otherwise the planner removes it.
     sentences = records.repartition(*keys).select(
         *keys,
-        F.struct(*carried).alias("record"),
+        F.struct(*carried, "_none").alias("record"),
         F.posexplode_outer("texts").alias("sent_pos", "text"),
     )
     # The record travels on its first sentence and a text on its first token.
@@ -111,7 +186,8 @@ def _annotate_from_lexicon(records: DataFrame, lexicon: DataFrame, keys: list[st
             F.lit(None).cast("array<string>").alias("dep"),
         ),
     )
-    return by_record.select(*keys, *[F.col(f"record.{c}") for c in carried], nested.alias("sentences"))
+    sentences = F.when(~F.col("record._none"), nested).alias("sentences")
+    return by_record.select(*keys, *[F.col(f"record.{c}") for c in carried], sentences)
 
 
 def annotate_with(
@@ -162,8 +238,11 @@ def annotate_with(
                     return [(r, None) for r in results]
             except Exception:
                 pass
-            # Find the sentences at fault.
-            return [one(t) for t in texts]
+            if len(texts) <= 1:
+                return [one(t) for t in texts]
+            # Find the sentences at fault, by halves: one of them costs a few calls.
+            half = len(texts) // 2
+            return many(texts[:half]) + many(texts[half:])
 
         strings = pa.list_(pa.string())
         for batch in batches:

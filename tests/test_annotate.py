@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from glossmill.operators.annotate import MAX_LOOKUP_BYTES, lexicon_bytes
 from glossmill import annotate, annotate_with, build_lexicon, flatten_sentences, flatten_tokens
 from glossmill.functions.text import TOKEN_RULE
 from glossmill.schemas import TOKEN_FIELDS
@@ -50,11 +51,11 @@ def test_shape_annotation_does_not_shuffle_or_join(records):
     assert "Exchange" not in plan and "Join" not in plan
 
 
-@pytest.mark.parametrize("broadcast", ["10m", "-1"])
-def test_lexicon_annotation(records, lexicon, conf, broadcast):
+@pytest.mark.parametrize("broadcast, limit", [("10m", 0), ("-1", 0), ("10m", MAX_LOOKUP_BYTES)])
+def test_lexicon_annotation(records, lexicon, conf, broadcast, limit):
     conf("spark.sql.autoBroadcastJoinThreshold", broadcast)
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", broadcast)
-    rows = by_key(annotate(records, lexicon, KEYS))
+    rows = by_key(annotate(records, lexicon, KEYS, limit))
     assert set(rows) == {1, 2, 3, 4, 5}
     first, second = rows[1].sentences
     assert first.text == "The dogs ran."
@@ -72,13 +73,42 @@ def test_lexicon_annotation(records, lexicon, conf, broadcast):
 def test_lexicon_annotation_shuffles_records_once(spark, records, lexicon, tmp_path):
     lexicon.write.parquet(str(tmp_path / "lexicon"))
     saved = spark.read.parquet(str(tmp_path / "lexicon"))
-    df = annotate(records, saved, KEYS)
+    df = annotate(records, saved, KEYS, max_lookup_bytes=0)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("Exchange hashpartitioning") == 1
     assert "BroadcastHashJoin" in plan
 
 
+def test_lexicon_that_fits_needs_no_shuffle_and_no_row_per_token(spark, records, lexicon):
+    assert lexicon_bytes(lexicon) < 1000 and lexicon_bytes(lexicon.limit(0)) == 0
+    df = annotate(records, lexicon, KEYS)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "Generate" not in plan
+    empty = by_key(annotate(records, lexicon.limit(0), KEYS))
+    assert {k: r.sentences for k, r in empty.items()} == {k: r.sentences for k, r in by_key(annotate(records)).items()}
+
+
+def test_failing_sentences_are_found_by_halves(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def run(texts):
+            calls.add(1)
+            if "bad" in texts:
+                raise ValueError("bad")
+            return [{"token": [t]} for t in texts]
+
+        return run
+
+    texts = [str(i) for i in range(255)] + ["bad"]
+    df = spark.createDataFrame([("a", texts)], "id string, texts array<string>")
+    row = annotate_with(df, factory).first()
+    assert [e.sent_pos for e in row._errors] == [255]
+    assert [s.token for s in row.sentences] == [[t] for t in texts[:-1]] + [None]
+    assert calls.value < 25
+
+
 def test_arrays_are_parallel(records, lexicon):
     for df in (annotate(records), annotate(records, lexicon, KEYS)):
         for r in flatten_sentences(df, KEYS).filter("token IS NOT NULL").collect():
