@@ -111,6 +111,12 @@ ORACLES: dict[str, str] = {
     "scan_lines": f"""WITH {_DOCS}
 SELECT line, true AS valid, count(*) AS n FROM (
   SELECT unnest([id, array_to_string(tags, ' '), ''] || texts) AS line FROM docs) GROUP BY line""",
+    "line_numbers": f"""WITH {_DOCS}, rows AS (
+  SELECT tags[2] AS source, CAST(id AS BIGINT) AS doc_id,
+    unnest([id, array_to_string(tags, ' ')] || texts || ['']) AS line,
+    generate_subscripts([id, array_to_string(tags, ' ')] || texts || [''], 1) AS pos FROM docs)
+SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id, pos) AS number, line FROM rows""",
+    "scoped_settings": "SELECT lang, count(*) AS n, true AS held, true AS restored FROM documents GROUP BY lang",
     "split_lines": f"WITH {_DOCS}, {_SENTS} SELECT id, sent_pos AS pos, text FROM sents",
     "distribute": "SELECT o_orderkey, o_orderpriority FROM orders",
     "group_blocks": f"""WITH {_DOCS}, blocks AS (
@@ -152,6 +158,11 @@ FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_na
     "nest_parts": "SELECT conv_id, turn, role, text FROM conversations",
     "enforce_schema": """SELECT doc_id, CASE WHEN lang <> 'es' THEN CAST(doc_id AS VARCHAR) END AS id,
   CASE WHEN lang <> 'es' THEN 'ok' ELSE 'null_id' END AS status FROM documents""",
+    "enforce_nested": f"""WITH {_DOCS}
+SELECT CAST(id AS BIGINT) AS doc_id, CAST(len(texts) AS BIGINT) AS n_lines,
+  CASE WHEN tags[1] NOT IN ('es', 'de') THEN tags[2] END AS source,
+  CASE WHEN tags[1] = 'fr' AND len(texts) > 0 THEN 'null_lines.text'
+    WHEN tags[1] = 'de' THEN 'null_origin.source' ELSE 'ok' END AS status FROM docs""",
     "default_missing": """SELECT doc_id AS id, text, lang FROM documents
 UNION ALL BY NAME SELECT item_id AS id, text FROM benchmark""",
     "safe_parse": """WITH cut AS (
@@ -160,6 +171,13 @@ UNION ALL BY NAME SELECT item_id AS id, text FROM benchmark""",
 SELECT event_id,
   CASE WHEN json_valid(props) THEN CAST(CAST(json_extract(props, '$.k') AS BIGINT) AS VARCHAR) END AS k,
   CASE WHEN props IS NULL THEN 'null_input' WHEN NOT json_valid(props) THEN 'invalid_json' END AS error FROM cut""",
+    "safe_parse_fields": r"""WITH p AS (
+  SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS n FROM events)
+SELECT event_id, CASE WHEN event_type NOT IN ('error', 'purchase', 'click') THEN n END AS k_value,
+  CASE event_type WHEN 'error' THEN 'invalid_json' WHEN 'purchase' THEN 'absent'
+    WHEN 'click' THEN 'wrong_type' END AS k_reason,
+  CASE WHEN event_type = 'purchase' THEN n END AS other_value,
+  CASE event_type WHEN 'error' THEN 'invalid_json' WHEN 'purchase' THEN NULL ELSE 'absent' END AS other_reason FROM p""",
     "json_round_trip": _ROUND_TRIP,
     "parquet_round_trip": _ROUND_TRIP,
     "read_back": f"""{_BASE}, {_SHAPED}
@@ -168,6 +186,13 @@ FROM shaped GROUP BY id, sent_pos""",
     "read_back_corrupt": """SELECT doc_id, CASE WHEN lang = 'fr' THEN 'malformed'
   WHEN lang = 'de' THEN 'unknown_fields: color' WHEN lang = 'es' THEN 'null_id' ELSE 'ok' END AS status
 FROM documents""",
+    "read_back_unknown": f"""WITH {_DOCS}
+SELECT CAST(id AS BIGINT) AS doc_id, CAST(len(texts) AS BIGINT) AS n_sentences,
+  CASE WHEN tags[1] = 'de' THEN 'unknown_fields: color' || CASE WHEN len(texts) > 0 THEN ', sentences.zzz' ELSE '' END
+    WHEN tags[1] = 'fr' AND len(texts) > 0 THEN 'unknown_fields: sentences.zzz' ELSE 'ok' END AS status FROM docs""",
+    "ingest_parts_bad": f"""WITH {_DOCS}
+SELECT id, CASE WHEN tags[2] = 'src0' THEN 'invalid_utf8' ELSE 'ok' END AS status,
+  CAST(len(texts) AS BIGINT) AS n_sentences, array_to_string(texts, chr(1)) AS texts FROM docs""",
     "ingest": _ROUND_TRIP,
     "ingest_parts": f"""WITH {_DOCS}
 SELECT id, array_to_string(tags, chr(1)) AS tags, CAST(len(texts) AS BIGINT) AS n_sentences,

@@ -7,11 +7,11 @@ can be compared with SQL on the same tables.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from glossmill.functions.safe import field_or_null, json_error, json_or_null
+from glossmill.functions.safe import field_or_null, fields_or_reasons, json_error, json_or_null
 from glossmill.functions.text import (
     TOKEN_RULE,
     explode_with_position,
@@ -27,10 +27,10 @@ from glossmill.operators.nested import flatten_sentences, flatten_tokens, nest_c
 from glossmill.operators.parse import parse_blocks
 from glossmill.operators.typed import enforce_schema, fill_missing, schema_violations
 from glossmill.plans.ingest import ingest
-from glossmill.schemas import RECORD_SCHEMA, STORED_SCHEMA
-from glossmill.session import shared_path
+from glossmill.schemas import QUARANTINE_SCHEMA, RECORD_SCHEMA, STORED_SCHEMA
+from glossmill.session import settings, shared_path
 from glossmill.sources.records import read_checked, read_records, write_records
-from glossmill.sources.text import scan_lines, write_blocks
+from glossmill.sources.text import number_lines, scan_lines, write_blocks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _written_once(make: Callable[[SparkSession, str], str]) -> Callable[[SparkSession, str], str]:
+    """Write an input of several queries once per session, and again when its folder of tables has changed."""
+    known: dict[tuple, str] = {}
+
+    @wraps(make)
+    def path(spark: SparkSession, sf_dir: str) -> str:
+        tables = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+        store = tables.getFileSystem(spark._jsc.hadoopConfiguration())
+        state = tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in store.listStatus(tables)))
+        key = (spark.sparkContext.applicationId, sf_dir, state)
+        if key not in known:
+            known[key] = make(spark, sf_dir)
+        return known[key]
+
+    return path
+
+
 def _joined(items: Column | str) -> Column:
     return F.array_join(items, "\x01")
 
@@ -81,7 +98,7 @@ def _nested_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotate(_documents(spark, sf_dir))
 
 
-@lru_cache(maxsize=None)
+@_written_once
 def _text_corpus(spark: SparkSession, sf_dir: str) -> str:
     """Documents written as text: id, tags, then one sentence per line."""
     block = F.concat(F.array("id", F.array_join("tags", " ")), "texts")
@@ -90,7 +107,7 @@ def _text_corpus(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-@lru_cache(maxsize=None)
+@_written_once
 def _ragged_corpus(spark: SparkSession, sf_dir: str) -> str:
     """As `_text_corpus`, but one-line documents lack everything but the id."""
     body = F.concat(F.array(F.array_join("tags", " ")), "texts")
@@ -100,7 +117,7 @@ def _ragged_corpus(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-@lru_cache(maxsize=None)
+@_written_once
 def _edge_corpus(spark: SparkSession, sf_dir: str) -> str:
     """As `_text_corpus`, with line ends, separators and bytes by language.
 
@@ -126,6 +143,17 @@ def _edge_corpus(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+@_written_once
+def _corpus_by_source(spark: SparkSession, sf_dir: str) -> str:
+    """As `_text_corpus`, one file per source with its documents in order of their ids."""
+    rows = F.concat(F.array("id", F.array_join("tags", " ")), "texts")
+    documents = _documents(spark, sf_dir).withColumn("source", F.col("tags")[1])
+    ordered = documents.repartition("source").sortWithinPartitions("source", F.col("id").cast("long"))
+    path = shared_path(spark, "sources")
+    ordered.select(F.concat(F.array_join(rows, "\n"), F.lit("\n")), "source").write.partitionBy("source").text(path)
+    return path
+
+
 def capital_annotator(rule: str = TOKEN_RULE) -> Callable[[], Annotator]:
     """A factory of plug-ins that take capitals inside a sentence for proper nouns.
 
@@ -168,7 +196,7 @@ def _lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_lexicon(flatten_tokens(_annotated_turns(spark, sf_dir), ["conv_id", "turn"]))
 
 
-@lru_cache(maxsize=None)
+@_written_once
 def _saved_lexicon_path(spark: SparkSession, sf_dir: str) -> str:
     path = shared_path(spark, "lexicon")
     write_records(_lexicon(spark, sf_dir), path, "parquet")
@@ -188,6 +216,26 @@ def scan_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.groupBy("line", "valid").agg(F.count("*").alias("n"))
 
 
+def line_numbers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with its file and its place in it, empty ones included."""
+    lines = number_lines(scan_lines(spark, _corpus_by_source(spark, sf_dir)))
+    source = F.regexp_extract("path", "source=([^/]*)/", 1)
+    return lines.select(source.alias("source"), "number", "line")
+
+
+def scoped_settings_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents per language, counted under settings of their own, and what became of those settings."""
+    wanted = {"spark.sql.shuffle.partitions": "5", "spark.sql.files.minPartitionNum": "9"}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    path = shared_path(spark, "counts")
+    with settings(spark, wanted):
+        held = all(spark.conf.get(key) == value for key, value in wanted.items())
+        counts = _table(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("n"))
+        write_records(counts, path, "parquet")
+    restored = before == {key: spark.conf.get(key, None) for key in wanted}
+    return spark.read.parquet(path).select("lang", "n", F.lit(held).alias("held"), F.lit(restored).alias("restored"))
+
+
 def group_blocks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_blocks(scan_lines(spark, _text_corpus(spark, sf_dir))).select(
         F.try_element_at("lines", F.lit(1)).alias("id"),
@@ -359,6 +407,30 @@ def enforce_schema_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(bad)
 
 
+def enforce_nested_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Required fields inside structs and arrays: French documents lose their first text, German ones their source."""
+    line = T.StructType([T.StructField("text", T.StringType(), False), T.StructField("n", T.IntegerType())])
+    origin = T.StructType([T.StructField("source", T.StringType(), False)])
+    schema = T.StructType(
+        [T.StructField("doc_id", T.LongType()), T.StructField("lines", T.ArrayType(line, False)), T.StructField("origin", origin)]
+    )
+    lang = F.col("lang")
+    lines = F.transform(
+        text_lines(F.col("text")),
+        lambda t, i: F.struct(F.when((lang != "fr") | (i > 0), t).alias("text"), F.length(t).alias("n")),
+    )
+    source = F.struct(F.when(lang != "de", F.col("source")).alias("source"))
+    documents = _table(spark, sf_dir, "documents").select(
+        "doc_id", lines.alias("lines"), F.when(lang != "es", source).alias("origin")
+    )
+    good = enforce_schema(documents, schema)
+    bad = schema_violations(documents, schema)
+    columns = ["doc_id", _size("lines").alias("n_lines"), "origin.source"]
+    return good.select(*columns, F.lit("ok").alias("status")).unionByName(
+        bad.select(*columns, F.col("reason").alias("status"))
+    )
+
+
 def default_missing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = T.StructType(
         [
@@ -384,6 +456,23 @@ def safe_parse_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def safe_parse_fields_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A value or a reason for every field: purchases have lost `k`, and clicks have a word in its place."""
+    props = F.col("props")
+    changed = (
+        F.when(F.col("event_type") == "error", F.expr("left(props, length(props) - 1)"))
+        .when(F.col("event_type") == "purchase", F.regexp_replace(props, '"k"', '"other"'))
+        .when(F.col("event_type") == "click", F.regexp_replace(props, r"(\d+)", r'"no $1"'))
+        .otherwise(props)
+    )
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("other", T.LongType())])
+    parsed = _table(spark, sf_dir, "events").select("event_id", fields_or_reasons(changed, schema).alias("f"))
+    return parsed.select(
+        "event_id",
+        *[F.col(f"f.{n}.{x}").alias(f"{n}_{x}") for n in ("k", "other") for x in ("value", "reason")],
+    )
+
+
 def _record_columns() -> list[Column | str]:
     token_counts = F.transform("sentences", lambda s: F.size(s["token"]))
     all_tokens = F.flatten(F.transform("sentences", lambda s: s["token"]))
@@ -441,6 +530,48 @@ def read_back_corrupt_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def read_back_unknown_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unknown fields at any depth, by their paths: French sentences have one, German records two."""
+    sentence = T.StructType([T.StructField("text", T.StringType())])
+    schema = T.StructType(
+        [T.StructField("doc_id", T.LongType()), T.StructField("sentences", T.ArrayType(sentence))]
+    )
+    lang = F.col("lang")
+    sentences = F.transform(
+        text_lines(F.col("text")),
+        lambda t: F.struct(t.alias("text"), F.when(lang.isin("fr", "de"), F.length(t)).alias("zzz")),
+    )
+    line = F.to_json(F.struct("doc_id", sentences.alias("sentences"), F.when(lang == "de", "red").alias("color")))
+    path = shared_path(spark, "unknown")
+    _table(spark, sf_dir, "documents").select(line).write.text(path)
+    return read_checked(spark, path, schema).select(
+        "doc_id", _size("sentences").alias("n_sentences"), F.coalesce("reason", F.lit("ok")).alias("status")
+    )
+
+
+def ingest_parts_bad_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of which one line is not UTF-8 are rejected with all of their parts, at a low limit."""
+    dest = shared_path(spark, "ingested")
+    ingest(spark, _edge_corpus(spark, sf_dir), dest, max_block_bytes=PART_BYTES)
+    good = read_records(spark, dest, STORED_SCHEMA).select(
+        "id", F.lit("ok").alias("status"), "part", F.col("sentences.text").alias("texts")
+    )
+    bad = spark.read.schema(QUARANTINE_SCHEMA).json(f"{dest}.quarantine")
+    block = F.struct(F.coalesce("part", F.lit(-1)).alias("part"), F.col("lines").alias("texts"))
+    bad = bad.groupBy("path", "block_no", "reason").agg(F.flatten(F.sort_array(F.collect_list(block))["texts"]).alias("lines"))
+    # The id, the tags and the line at fault stand around the sentences.
+    bad = bad.select(
+        F.col("lines")[0].alias("id"),
+        F.col("reason").alias("status"),
+        F.lit(None).cast("long").alias("part"),
+        F.slice("lines", F.lit(3), F.size("lines") - 3).alias("texts"),
+    )
+    part = F.struct(F.coalesce("part", F.lit(-1)).alias("part"), "texts")
+    texts = F.flatten(F.sort_array(F.collect_list(part))["texts"])
+    joined = good.unionByName(bad).groupBy("id", "status").agg(texts.alias("texts"))
+    return joined.select("id", "status", _size("texts").alias("n_sentences"), _joined("texts").alias("texts"))
+
+
 def ingest_parts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records put together again from the rows of a run with a low limit."""
     dest = shared_path(spark, "ingested")
@@ -497,6 +628,8 @@ def ingest_ragged_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "scan_lines": scan_lines_query,
+    "line_numbers": line_numbers_query,
+    "scoped_settings": scoped_settings_query,
     "split_lines": split_lines_query,
     "distribute": distribute_query,
     "group_blocks": group_blocks_query,
@@ -518,14 +651,18 @@ QUERIES: dict[str, Query] = {
     "nest_parts": nest_parts_query,
     "nest_under_parents": nest_under_parents_query,
     "enforce_schema": enforce_schema_query,
+    "enforce_nested": enforce_nested_query,
     "default_missing": default_missing_query,
     "safe_parse": safe_parse_query,
+    "safe_parse_fields": safe_parse_fields_query,
     "json_round_trip": json_round_trip_query,
     "parquet_round_trip": parquet_round_trip_query,
     "read_back": read_back_query,
     "read_back_corrupt": read_back_corrupt_query,
+    "read_back_unknown": read_back_unknown_query,
     "ingest": ingest_query,
     "ingest_parts": ingest_parts_query,
+    "ingest_parts_bad": ingest_parts_bad_query,
     "ingest_lexicon": ingest_lexicon_query,
     "ingest_plugin": ingest_plugin_query,
     "ingest_ragged": ingest_ragged_query,

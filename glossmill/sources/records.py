@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from glossmill.operators.typed import violation
 from glossmill.schemas import RECORD_SCHEMA, STORED_SCHEMA
@@ -154,15 +154,17 @@ def read_records(
 def read_checked(spark: SparkSession, src: str, schema: T.StructType = STORED_SCHEMA) -> DataFrame:
     """JSON lines with a `reason` next to the fields of `schema`, and the raw `line`; no line is lost.
 
-    `reason` is NULL for a good record, else `malformed`, `unknown_fields: ...` for
-    top-level fields that `schema` does not have, or the required field that is NULL.
+    `reason` is NULL for a good record, else `malformed`; `unknown_fields: ...` with the paths of
+    fields that `schema` does not have, at any depth; or the required field that is NULL (see `violation`).
     """
     corrupt = "_malformed"
     nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
     parsed = F.from_json(
         "line", nullable.add(corrupt, T.StringType()), {**_READ_OPTIONS, "columnNameOfCorruptRecord": corrupt}
     )
-    unknown = F.array_except(F.json_object_keys("line"), F.array(*[F.lit(n) for n in schema.names]))
+    top = F.array_except(F.json_object_keys("line"), F.array(*[F.lit(n) for n in schema.names]))
+    deeper = _unknown_in_fields(F.col("line"), schema, "")
+    unknown = F.array_distinct(F.concat(top, *deeper)) if deeper else top
     reason = (
         F.when(F.col(corrupt).isNotNull() | unknown.isNull(), "malformed")
         .when(F.size(unknown) > 0, F.concat(F.lit("unknown_fields: "), F.array_join(unknown, ", ")))
@@ -173,6 +175,39 @@ def read_checked(spark: SparkSession, src: str, schema: T.StructType = STORED_SC
     return rows.withColumn("reason", reason).drop(corrupt)
 
 
+def _unknown_in_fields(document: Column, kind: T.StructType, prefix: str) -> list[Column]:
+    """Per field with structs below it, the unknown paths in there; `document` is the JSON text around the fields."""
+    nested = [f for f in kind if _has_struct(f.dataType)]
+    if not nested:
+        return []
+    texts = F.from_json(document, T.StructType([T.StructField(f.name, T.StringType()) for f in nested]), _READ_OPTIONS)
+    return [_unknown_below(texts.getField(f.name), f.dataType, prefix + f.name) for f in nested]
+
+
+def _unknown_below(document: Column, kind: T.DataType, path: str) -> Column:
+    """Paths of the fields in a JSON text that `kind`, which has a struct, does not have; an empty array if there are none."""
+    none = F.array().cast("array<string>")
+    if isinstance(kind, T.StructType):
+        known = F.array(*[F.lit(n) for n in kind.names]).cast("array<string>")
+        extra = F.transform(F.array_except(F.json_object_keys(document), known), lambda k: F.concat(F.lit(f"{path}."), k))
+        return F.concat(F.coalesce(extra, none), *_unknown_in_fields(document, kind, f"{path}."))
+    if isinstance(kind, T.ArrayType):
+        item, items = kind.elementType, F.from_json(document, T.ArrayType(T.StringType()), _READ_OPTIONS)
+    else:
+        pairs = F.from_json(document, T.MapType(T.StringType(), T.StringType()), _READ_OPTIONS)
+        item, items = kind.valueType, F.map_values(pairs)
+    per_item = F.transform(items, lambda x: _unknown_below(x, item, path))
+    return F.coalesce(F.array_distinct(F.flatten(per_item)), none)
+
+
+def _has_struct(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_struct(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _has_struct(kind.valueType)
+    return isinstance(kind, T.StructType)
+
+
 def read_strict(spark: SparkSession, src: str, schema: T.StructType = STORED_SCHEMA) -> DataFrame:
     """JSON lines of which every one must be a record: the first that is not fails the job, with its reason."""
     checked = read_checked(spark, src, schema)

@@ -17,7 +17,9 @@ from glossmill import (
     schema_violations,
     write_records,
 )
+from glossmill.functions.safe import fields_or_reasons
 from glossmill.sources.records import read_checked, read_strict
+from glossmill.sources.text import number_lines, scan_lines
 from glossmill.session import get_session, settings, shared_path, split_settings
 
 FULL = ("N1", ["a"], [("x y", ["x", "y"], ["x", "y"], ["X", "X"], ["XX", "XX"], ["d", "e"]), ("", [], [], [], [], [])])
@@ -293,3 +295,82 @@ def test_staged_folders_replace_both_or_none(spark, tmp_path, monkeypatch):
         assert [written(p) for p in places] == [{"x": "two"}] * 2
     write("five")
     assert [written(p) for p in places] == [{"x": "five"}] * 2
+
+
+NESTED = T.StructType(
+    [
+        T.StructField("id", T.StringType(), False),
+        T.StructField(
+            "s",
+            T.ArrayType(
+                T.StructType(
+                    [
+                        T.StructField("x", T.StringType(), False),
+                        T.StructField("m", T.MapType(T.StringType(), T.LongType(), False)),
+                    ]
+                ),
+                False,
+            ),
+        ),
+        T.StructField("o", T.StructType([T.StructField("k", T.LongType(), False)])),
+    ]
+)
+NESTED_LINES = {
+    '{"id":"a","s":[{"x":"1","m":{"q":1}}],"o":{"k":1}}': None,
+    '{"id":"b","s":[{"x":"1"},{"m":{}}]}': "null_s.x",
+    '{"id":"c","s":[null]}': "null_s[]",
+    '{"id":"d","o":{}}': "null_o.k",
+    '{"id":"e","s":[{"x":"1","zzz":1},{"x":"2","y":{"u":1}}],"o":{"k":2,"kk":1},"w":1}': "unknown_fields: w, s.zzz, s.y, o.kk",
+    '{"id":"f","s":[{"x":"1","m":{"q":null}}]}': "null_s.m[]",
+    '{"id":"g","id":"g","s":[]}': None,
+    '{"id":"h","s":null}': None,
+    '{"s":[{}]}': "null_id",
+    "7": "malformed",
+}
+
+
+def test_required_and_unknown_fields_at_every_depth(spark, tmp_path):
+    (tmp_path / "j.json").write_text("\n".join(NESTED_LINES))
+    rows = read_checked(spark, str(tmp_path / "j.json"), NESTED)
+    assert {r.line: r.reason for r in rows.collect()} == NESTED_LINES
+    good = enforce_schema(rows.select(*NESTED.names), NESTED)
+    assert good.schema == NESTED
+    assert sorted(r.id for r in good.collect()) == ["a", "e", "g", "h"]
+    assert good.filter("id = 'a'").first().s[0].m == {"q": 1}
+    reasons = {r.id: r.reason for r in schema_violations(rows.drop("reason").select(*NESTED.names), NESTED).collect()}
+    assert reasons == {"b": "null_s.x", "c": "null_s[]", "d": "null_o.k", "f": "null_s.m[]", None: "null_id"}
+
+
+def test_required_fields_that_the_rows_do_not_have(spark):
+    df = spark.createDataFrame([("a", [(1,)], None), ("b", [], None)], "id string, s array<struct<z:int>>, o struct<k:bigint>")
+    with pytest.raises(TypeError, match="unexpected fields: s.z"):
+        enforce_schema(df, NESTED)
+    df = df.select("id", F.transform("s", lambda x: F.struct(F.lit(None).cast("map<string,bigint>").alias("m"))).alias("s"), "o")
+    assert [(r.id, r.reason) for r in schema_violations(df, NESTED).collect()] == [("a", "null_s.x")]
+
+
+def test_a_value_or_a_reason_for_every_field(spark):
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b's", T.StringType())])
+    cases = {
+        '{"a":7,"b\'s":"x"}': ((7, None), ("x", None)),
+        '{"a":"x7","b\'s":null}': ((None, "wrong_type"), (None, "absent")),
+        '{"a":"7"}': ((7, None), (None, "absent")),
+        "[1]": ((None, "not_an_object"),) * 2,
+        '{"a"': ((None, "invalid_json"),) * 2,
+        None: ((None, "null_input"),) * 2,
+    }
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    rows = df.select("t", fields_or_reasons(F.col("t"), schema).alias("f")).collect()
+    assert {r.t: tuple(map(tuple, r.f)) for r in rows} == cases
+
+
+def test_line_numbers_do_not_depend_on_splits(spark, tmp_path, conf):
+    text = "\n\na\n" + "\n".join("x" * (i % 90) for i in range(500))
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.txt").write_text(text + name)
+    for split_bytes in ("40", "999", "128m"):
+        conf("spark.sql.files.maxPartitionBytes", split_bytes)
+        rows = number_lines(scan_lines(spark, str(tmp_path))).collect()
+        for name in ("a", "b"):
+            own = sorted((r.number, r.line) for r in rows if r.path.endswith(f"{name}.txt"))
+            assert own == list(enumerate((text + name).split("\n"), 1))
