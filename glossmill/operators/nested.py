@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -30,32 +31,27 @@ def nest_children(
     With `parents` (one row per key) a parent without children gets an empty array.
     A group larger than `max_part_bytes` is several rows, numbered by `part` from 0 in
     `order`; `part` is NULL for whole groups. No child is left out, and only a child
-    that alone is too large makes a larger part. One shuffle places the groups; a
-    task walks a large group in order, from disk where it must, and holds one part.
+    that alone is too large makes a larger part. Children with one `order` are sorted by `fields`.
+
+    Sizes of groups, which combine map-side, are measured first, by a job of its own. Groups that
+    fit are placed by one shuffle. If there are others, their children are dealt by ranges of keys and order, so however many a group has, they are
+    spread over all tasks; see `_nested_in_parts`.
     """
     keys = list(keys)
-    entry = F.struct(F.col(order).alias("_order"), *fields)
-    in_group = W.partitionBy(*keys)
-    before = in_group.orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     size = sum((_bytes(f) for f in fields), F.lit(ENTRY_BYTES)).cast("long")
-    placed = (
-        children.withColumn("_size", size)
-        .withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0).cast("long")))
-        .withColumn("_total", F.sum("_size").over(in_group))
-        .withColumn(
-            "part", F.when(F.col("_total") > max_part_bytes, F.floor(F.col("_before") / max_part_bytes))
-        )
-    )
-    # Parts between which a child is larger than a part leave gaps; the numbers then close up.
-    nested = (
-        placed.groupBy(*keys, "part")
-        .agg(F.sort_array(F.collect_list(entry)).alias("_children"))
-        .withColumn("part", F.when(F.col("part").isNotNull(), F.dense_rank().over(in_group.orderBy("part")) - 1))
-        .withColumn(
-            into, F.transform("_children", lambda c: F.struct(*[c[f].alias(f) for f in fields]))
-        )
-        .drop("_children")
-    )
+    sized = children.select(*keys, order, *[f for f in fields if f not in (*keys, order)], size.alias("_size"))
+    totals = sized.groupBy(*keys).agg(F.sum("_size").alias("_total"))
+    if (totals.agg(F.max("_total")).first()[0] or 0) <= max_part_bytes:
+        nested = _nested_whole(sized, keys, order, fields)
+    else:
+        large = totals.filter(F.col("_total") > max_part_bytes)
+        large = large.select(*[F.col(k).alias(f"_large_{i}") for i, k in enumerate(keys)])
+        in_large = _same([(F.col(k), F.col(f"_large_{i}")) for i, k in enumerate(keys)])
+        whole = _nested_whole(sized.join(large, in_large, "left_anti"), keys, order, fields)
+        of_large = sized.join(large, in_large, "left_semi")
+        nested = whole.union(_nested_in_parts(of_large, keys, order, fields, max_part_bytes))
+    children_of = F.transform("_children", lambda c: F.struct(*[c[f].alias(f) for f in fields]))
+    nested = nested.select(*keys, "part", children_of.alias(into))
     if parents is None:
         return nested
     return parents.join(nested, keys, "left").withColumn(
@@ -63,6 +59,73 @@ def nest_children(
     )
 
 
+def _nested_whole(children: DataFrame, keys: list[str], order: str, fields: Sequence[str]) -> DataFrame:
+    nested = children.groupBy(*keys).agg(F.sort_array(F.collect_list(_entry(order, fields))).alias("_children"))
+    return nested.select(*keys, F.lit(None).cast("long").alias("part"), "_children")
+
+
+def _nested_in_parts(
+    children: DataFrame, keys: list[str], order: str, fields: Sequence[str], max_part_bytes: int
+) -> DataFrame:
+    """Large groups as numbered parts.
+
+    The place of a child in bytes has two levels, as that of a line in a file: a running sum
+    inside its range, and per range the bytes of all earlier ranges of its group, which is one
+    row per group and range. Both levels read the same columns of `dealt`, so that one exchange serves
+    both and they see the same ranges; a child outside the bounds of its range fails the job.
+    """
+    spark = children.sparkSession
+    sort = [order, *[f for f in fields if f != order and f not in keys]]
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = children.repartitionByRange(ranges, *keys, *sort).withColumn("_range", F.spark_partition_id())
+    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    place = F.struct(F.col(order).alias("o"))
+    sums = (
+        dealt.groupBy(*keys, "_range")
+        .agg(
+            F.sum("_size").alias("_bytes"),
+            F.max("_size").alias("_widest"),
+            F.min(place).alias("_low"),
+            F.max(place).alias("_high"),
+        )
+        .withColumn("_start", F.coalesce(F.sum("_bytes").over(earlier), F.lit(0)))
+        .withColumn("_widest", F.max("_widest").over(W.partitionBy(*keys)))
+        .select(
+            *[F.col(k).alias(f"_sum_{i}") for i, k in enumerate(keys)],
+            F.col("_range").alias("_of_range"), "_start", "_widest", "_low", "_high",
+        )
+    )
+    pairs = [(F.col(k), F.col(f"_sum_{i}")) for i, k in enumerate(keys)]
+    same = _same(pairs) & (F.col("_range") == F.col("_of_range"))
+    inside = (place >= F.col("_low")) & (place <= F.col("_high"))
+    changed = F.raise_error(F.lit("ranges of children changed between two uses")).cast("long")
+    in_range = W.partitionBy(*keys, "_range").orderBy(*sort).rowsBetween(W.unboundedPreceding, -1)
+    local = F.coalesce(F.sum("_size").over(in_range), F.lit(0))
+    # Only where a child alone is larger than a part are numbers left out; they then close up.
+    has_gaps = F.col("_gaps")
+    closing = W.partitionBy(*keys, F.when(~has_gaps, F.col("part"))).orderBy("part")
+    return (
+        dealt.join(sums, same, "left")
+        .withColumn("_at", F.when(inside, F.col("_start")).otherwise(changed) + local)
+        .groupBy(*keys, F.floor(F.col("_at") / max_part_bytes).alias("part"))
+        .agg(
+            F.sort_array(F.collect_list(_entry(order, fields))).alias("_children"),
+            (F.max("_widest") > max_part_bytes).alias("_gaps"),
+        )
+        .withColumn("part", F.when(has_gaps, F.dense_rank().over(closing) - 1).otherwise(F.col("part")).cast("long"))
+        .select(*keys, "part", "_children")
+    )
+
+
+def _entry(order: str, fields: Sequence[str]) -> Column:
+    return F.struct(F.col(order).alias("_order"), *fields)
+
+
+def _same(pairs: Sequence[tuple[Column, Column]]) -> Column:
+    """Equal in all pairs, NULL being equal to NULL."""
+    return reduce(Column.__and__, [a.eqNullSafe(b) for a, b in pairs])
+
+
 def _bytes(field: str) -> Column:
     return F.coalesce(F.octet_length(F.col(field).cast("string")), F.lit(0))
 

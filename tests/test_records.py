@@ -88,6 +88,36 @@ def test_large_groups_are_parts_with_every_child(spark):
     assert {(r.part, r.n) for r in found if r.k == 2} == {(None, 2)}
 
 
+def test_one_large_group_is_spread_over_tasks(spark, conf):
+    """As many tasks sort children of the group as there are ranges, and parts come in order."""
+    conf("spark.sql.shuffle.partitions", "16")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    n = 40_000
+    df = spark.range(n).select(
+        F.when(F.col("id") < n - 10, F.lit(1)).otherwise(F.col("id")).alias("k"),
+        ((F.col("id") * 7919) % n).alias("pos"),
+        F.col("id").cast("string").alias("v"),
+    )
+    nested = nest_children(df, ["k"], "pos", ["pos", "v"], "kids", max_part_bytes=60_000)
+    tagged = nested.withColumn("task", F.spark_partition_id())
+    rows = tagged.collect()
+    large = sorted((r for r in rows if r.k == 1), key=lambda r: r.part)
+    assert [r.part for r in large] == list(range(len(large))) and len(large) > 30
+    assert len({r.task for r in large}) > 8
+    places = [kid.pos for r in large for kid in r.kids]
+    assert places == sorted(places) and len(places) == n - 10
+    assert {(r.k, r.part, len(r.kids)) for r in rows if r.k != 1} == {(k, None, 1) for k in range(n - 10, n)}
+    plan = tagged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange rangepartitioning") == 1
+
+
+def test_children_with_equal_places_are_spread_too(spark):
+    df = spark.range(3000).select(F.lit(None).cast("long").alias("k"), F.lit(5).alias("pos"), F.col("id").alias("v"))
+    rows = nest_children(df, ["k"], "pos", ["v"], "kids", max_part_bytes=20_000).collect()
+    rows.sort(key=lambda r: r.part)
+    assert len(rows) > 3 and [kid.v for r in rows for kid in r.kids] == list(range(3000))
+
+
 def test_parents_of_parts_and_of_nothing(spark):
     df = spark.range(1000).select(
         F.when(F.col("id") < 10, F.col("id")).otherwise(99).alias("k"), F.col("id").alias("pos"), F.lit(1).alias("v")
