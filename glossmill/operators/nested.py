@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from glossmill.functions.text import explode_with_position
 from glossmill.schemas import TOKEN_FIELDS
+from glossmill.session import shared_path
 
 
 # A row cannot exceed 2 GiB; a group of more than this is several rows.
@@ -71,42 +72,42 @@ def _nested_in_parts(
 
     The place of a child in bytes has two levels, as that of a line in a file: a running sum
     inside its range, and per range the bytes of all earlier ranges of its group, which is one
-    row per group and range. Both levels read the same columns of `dealt`, so that one exchange serves
-    both and they see the same ranges; a child outside the bounds of its range fails the job.
+    row per group and range. Both levels must see the same ranges, which Spark draws from a sample
+    each time it deals rows; so the children of large groups are dealt once and written to the shared folder.
     """
     spark = children.sparkSession
     sort = [order, *[f for f in fields if f != order and f not in keys]]
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = children.repartitionByRange(ranges, *keys, *sort).withColumn("_range", F.spark_partition_id())
+    path = shared_path(spark, "children")
+    dealt.write.parquet(path)
+    dealt = spark.read.schema(dealt.schema).parquet(path)
     earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    place = F.struct(F.col(order).alias("o"))
     sums = (
         dealt.groupBy(*keys, "_range")
         .agg(
             F.sum("_size").alias("_bytes"),
             F.max("_size").alias("_widest"),
-            F.min(place).alias("_low"),
-            F.max(place).alias("_high"),
         )
         .withColumn("_start", F.coalesce(F.sum("_bytes").over(earlier), F.lit(0)))
         .withColumn("_widest", F.max("_widest").over(W.partitionBy(*keys)))
         .select(
             *[F.col(k).alias(f"_sum_{i}") for i, k in enumerate(keys)],
-            F.col("_range").alias("_of_range"), "_start", "_widest", "_low", "_high",
+            F.col("_range").alias("_of_range"),
+            "_start",
+            "_widest",
         )
-    )
+    )
     pairs = [(F.col(k), F.col(f"_sum_{i}")) for i, k in enumerate(keys)]
     same = _same(pairs) & (F.col("_range") == F.col("_of_range"))
-    inside = (place >= F.col("_low")) & (place <= F.col("_high"))
-    changed = F.raise_error(F.lit("ranges of children changed between two uses")).cast("long")
     in_range = W.partitionBy(*keys, "_range").orderBy(*sort).rowsBetween(W.unboundedPreceding, -1)
     local = F.coalesce(F.sum("_size").over(in_range), F.lit(0))
     # Only where a child alone is larger than a part are numbers left out; they then close up.
     has_gaps = F.col("_gaps")
     closing = W.partitionBy(*keys, F.when(~has_gaps, F.col("part"))).orderBy("part")
     return (
-        dealt.join(sums, same, "left")
-        .withColumn("_at", F.when(inside, F.col("_start")).otherwise(changed) + local)
+        dealt.join(sums, same)
+        .withColumn("_at", F.col("_start") + local)
         .groupBy(*keys, F.floor(F.col("_at") / max_part_bytes).alias("part"))
         .agg(
             F.sort_array(F.collect_list(_entry(order, fields))).alias("_children"),
