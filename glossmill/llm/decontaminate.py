@@ -35,8 +35,9 @@ class Settings:
     `min_chars` are found exactly, between word borders. Those are reported, but too short
     to drop a document for.
 
-    `block_bytes` bounds one index: items are dealt into as many blocks as their
-    bytes need. `chunk_chars` bounds the text that is looked up at once.
+    `block_bytes` bounds the text of one index: items are dealt into as many blocks as their bytes
+    need. By default an index takes less than 100 MB (see `index_bytes`). `chunk_chars` bounds the text
+    that is looked up at once.
     """
 
     q: int = 12
@@ -44,10 +45,16 @@ class Settings:
     step_chars: int = 10
     edit_rate: float = 0.05
     min_chars: int = 24
-    block_bytes: int = 8 << 20
+    block_bytes: int = 400 << 10
     chunk_chars: int = 1 << 20
 
 
+def index_bytes(text_bytes: int, settings: Settings) -> int:
+    """What an index of so much text takes at most: per gram its hash, owner and offset and up to 32 marks, and the patterns."""
+    per_pattern = settings.pattern_chars * (8 + 4 + 2 + 32) + 4 * settings.pattern_chars + 200
+    return text_bytes * per_pattern // settings.step_chars
+
+
 def normalise(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
@@ -86,8 +93,8 @@ class Index:
                 pattern = text[start : start + m]
                 g = q_grams(code_points(pattern), settings.q)
                 grams.append(g)
-                owners.append(np.full(len(g), len(self.patterns)))
-                offsets.append(np.arange(len(g)))
+                owners.append(np.full(len(g), len(self.patterns), np.int32))
+                offsets.append(np.arange(len(g), dtype=np.int16))
                 self.patterns.append((len(self.ids), pattern))
             self.ids.append(item_id)
         self.n_long = len(self.patterns)
@@ -107,7 +114,7 @@ class Index:
         q = settings.q
         self.budget = np.minimum((lengths * settings.edit_rate).astype(int), np.maximum(lengths - q, 0) // q)
         self.needed = lengths + 1 - q - q * self.budget
-        bits = max(16, int(np.ceil(np.log2(len(self.grams)))) + 6)
+        bits = max(16, int(np.ceil(np.log2(len(self.grams)))) + 4)
         self.shift = np.uint64(64 - min(bits, 28))
         self.seen = np.zeros(1 << (64 - int(self.shift)), bool)
         self.seen[self.grams >> self.shift] = True

@@ -11,8 +11,11 @@ from __future__ import annotations
 import heapq
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from glossmill.session import shared_path
+
 N_SLOTS = 8192
 OVERHEAD = 16
 
@@ -126,14 +129,38 @@ def place(rows: DataFrame, slot_map: list[int]) -> DataFrame:
     )
 
 
-def assign(docs: DataFrame, n_shards: int, n_slots: int = N_SLOTS) -> DataFrame:
+def assign(docs: DataFrame, n_shards: int, n_slots: int = N_SLOTS, folder: str | None = None) -> DataFrame:
     """`doc_id, size, text_crc32, shard, slot, vslot`: shards of near equal bytes.
 
+    The map is stored in `folder` (default: a new one in the shared folder) as version 1,
+    edited for the measured sizes as version 2 where it is out of balance, and the records are placed
+    by what is stored. A folder that has versions is edited from its last one, so slots move only where they must.
     Every row of `docs` is placed, repeated rows and null ids and texts included;
     other columns are ignored, an empty table gives an empty result.
     """
+    spark = docs.sparkSession
+    folder = folder or shared_path(spark, "slot-map")
     rows = sized_rows(docs, n_slots)
-    return place(rows, balanced_map(slot_sizes(rows), n_shards, n_slots))
+    sizes = slot_sizes(rows)
+    version = last_version(spark, folder)
+    if not version:
+        version = 1
+        save_map(spark, folder, version, balanced_map(sizes, n_shards, n_slots))
+    stored = load_map(spark, folder, version)
+    edited = rebalanced_map(stored, sizes, n_shards)
+    if edited != stored:
+        version += 1
+        save_map(spark, folder, version, edited)
+    return place(rows, load_map(spark, folder, version))
+
+
+def last_version(spark: SparkSession, folder: str) -> int:
+    """The number of the last stored map, 0 if there is none."""
+    try:
+        versions = spark.read.parquet(folder)
+    except AnalysisException:
+        return 0
+    return versions.agg(F.max("version")).first()[0] or 0
 
 
 def write_shards(docs: DataFrame, slot_map: list[int], dest: str) -> None:

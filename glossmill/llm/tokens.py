@@ -248,7 +248,8 @@ def read_documents(manifest: DataFrame) -> DataFrame:
             for row in batch.to_pylist():
                 yield from _documents(row["file"], row["before"])
 
-    return files.select("file", "before").repartition("file").mapInArrow(
+    # A number of partitions of their own: merged by size, these few small rows would be one task.
+    return files.select("file", "before").repartition(max(manifest.count(), 1), "file").mapInArrow(
         run, "doc_id long, start long, n_tokens long, ids_crc32 long, file string, file_start long"
     )
 

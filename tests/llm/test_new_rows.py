@@ -1,6 +1,7 @@
 """Fill in the middle, license scans and the filter audit, against plain Python."""
 
 import hashlib
+import pickle
 import random
 import re
 from collections import Counter
@@ -11,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from glossmill.llm import audit, license_rules, licenses, middle
+from glossmill.llm import audit, decontaminate, license_rules, licenses, middle, sharding
 from glossmill.llm.oracles import ORACLES
 from glossmill.llm.queries import QUERIES
 
@@ -288,3 +289,40 @@ def test_audit_of_nothing_and_of_other_filters(spark):
     docs = frame(spark, [(1, "a", "s"), (2, "bb", "s")], "doc_id long, text string, source string")
     found = audit.find_failures(docs, no_labels, {"L": F.length("text") > 1}, duplicates=None)
     assert [tuple(r) for r in audit.audit(found).select("filter_order", "step", "kept", "removed", "shapley").collect()] == [("L", 1, 1, 1, 1)]
+
+
+# --- maps and indexes ------------------------------------------------------------
+
+
+def test_records_are_placed_by_the_stored_map(spark, tmp_path):
+    folder = str(tmp_path / "map")
+    docs = frame(spark, [(i, "x" * (i % 50)) for i in range(3000)])
+    first = sharding.assign(docs, 5, 512, folder)
+    assert sharding.last_version(spark, folder) == 1
+    by_map = {(r.vslot, r.shard) for r in first.select("vslot", "shard").distinct().collect()}
+    stored = sharding.load_map(spark, folder, 1)
+    assert all(stored[slot] == shard for slot, shard in by_map)
+    # One more shard edits the last version, and only what moves goes to the new shard.
+    second = sharding.assign(docs, 6, 512, folder)
+    assert sharding.last_version(spark, folder) == 2
+    moved = {(a, b) for a, b in zip(stored, sharding.load_map(spark, folder, 2)) if a != b}
+    assert moved and {b for _, b in moved} == {5}
+    sizes = [r[0] for r in second.groupBy("shard").agg(F.sum("size")).select("sum(size)").collect()]
+    assert len(sizes) == 6 and max(sizes) < 1.05 * min(sizes)
+    assert sharding.assign(docs, 6, 512, folder).exceptAll(second).count() == 0
+    assert sharding.last_version(spark, folder) == 2
+
+
+def test_an_index_takes_no_more_than_its_measure(spark):
+    r = random.Random(1)
+    text = " ".join("".join(r.choice("abcdefghij") for _ in range(r.randrange(2, 9))) for _ in range(40_000))
+    settings = decontaminate.Settings()
+    index = decontaminate.Index([(1, text)], settings)
+    assert len(pickle.dumps(index)) < decontaminate.index_bytes(len(text), settings)
+    assert decontaminate.index_bytes(settings.block_bytes, settings) < 100 << 20
+    # So a block of items, whatever the size of the benchmark, stays under the bound.
+    items = frame(spark, [(i, text[2000 * i : 2000 * i + 2000]) for i in range(60)], "item_id long, text string")
+    small = decontaminate.Settings(block_bytes=40_000)
+    found = list(decontaminate.blocks(items, small))
+    assert len(found) == 3 and sum(len(x.ids) for x in found) == 60
+    assert all(len(pickle.dumps(x)) < 2 * decontaminate.index_bytes(small.block_bytes, small) for x in found)
