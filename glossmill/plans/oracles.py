@@ -115,7 +115,8 @@ SELECT line, true AS valid, count(*) AS n FROM (
   SELECT tags[2] AS source, CAST(id AS BIGINT) AS doc_id,
     unnest([id, array_to_string(tags, ' ')] || texts || ['']) AS line,
     generate_subscripts([id, array_to_string(tags, ' ')] || texts || [''], 1) AS pos FROM docs)
-SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id, pos) AS number, line FROM rows""",
+SELECT source, doc_id // 1000 AS bucket,
+  row_number() OVER (PARTITION BY source, doc_id // 1000 ORDER BY doc_id, pos) AS number, line FROM rows""",
     "scoped_settings": "SELECT lang, count(*) AS n, true AS held, true AS restored FROM documents GROUP BY lang",
     "split_lines": f"WITH {_DOCS}, {_SENTS} SELECT id, sent_pos AS pos, text FROM sents",
     "distribute": "SELECT o_orderkey, o_orderpriority FROM orders",

@@ -145,12 +145,14 @@ def _edge_corpus(spark: SparkSession, sf_dir: str) -> str:
 
 @_written_once
 def _corpus_by_source(spark: SparkSession, sf_dir: str) -> str:
-    """As `_text_corpus`, one file per source with its documents in order of their ids."""
+    """As `_text_corpus`, one file per source and thousand ids, with its documents in order of their ids."""
     rows = F.concat(F.array("id", F.array_join("tags", " ")), "texts")
-    documents = _documents(spark, sf_dir).withColumn("source", F.col("tags")[1])
-    ordered = documents.repartition("source").sortWithinPartitions("source", F.col("id").cast("long"))
+    number = F.col("id").cast("long")
+    documents = _documents(spark, sf_dir).withColumns({"source": F.col("tags")[1], "bucket": F.floor(number / 1000)})
+    ordered = documents.repartition("source", "bucket").sortWithinPartitions("source", "bucket", number)
     path = shared_path(spark, "sources")
-    ordered.select(F.concat(F.array_join(rows, "\n"), F.lit("\n")), "source").write.partitionBy("source").text(path)
+    text = F.concat(F.array_join(rows, "\n"), F.lit("\n"))
+    ordered.select(text, "source", "bucket").write.partitionBy("source", "bucket").text(path)
     return path
 
 
@@ -219,8 +221,8 @@ def scan_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_numbers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line with its file and its place in it, empty ones included."""
     lines = number_lines(scan_lines(spark, _corpus_by_source(spark, sf_dir)))
-    source = F.regexp_extract("path", "source=([^/]*)/", 1)
-    return lines.select(source.alias("source"), "number", "line")
+    source, bucket = (F.regexp_extract("path", f"{name}=([^/]*)/", 1) for name in ("source", "bucket"))
+    return lines.select(source.alias("source"), bucket.cast("long").alias("bucket"), "number", "line")
 
 
 def scoped_settings_query(spark: SparkSession, sf_dir: str) -> DataFrame:
