@@ -4,7 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from glossmill.functions.text import PUNCTUATION_TAGS, WHITESPACE
+# Fixed values, stated here as well so that the SQL does not depend on the engine: the characters
+# that a Unicode-aware strip removes, and Penn Treebank tags of single-character tokens.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+PUNCTUATION_TAGS = {
+    ".": ".?!",
+    ",": ",",
+    ":": ":;…–—",
+    "HYPH": "-",
+    "-LRB-": "([{",
+    "-RRB-": ")]}",
+    "``": "“‘«",
+    "''": "\"'”’»",
+    "$": "$€£¥",
+}
 
 
 def _quoted(text: str) -> str:
