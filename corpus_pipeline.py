@@ -66,6 +66,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`: one row per document in the token files.
+
+    Null and repeated ids, null, empty and very long texts and extra columns pass through as the
+    stages define for them; without documents the result is empty. Each stage is written
+    whole before the next reads it, so a lost executor costs at most a part of one stage.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-').lower()}")
