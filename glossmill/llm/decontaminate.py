@@ -14,11 +14,11 @@ is one pass over the documents.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -26,18 +26,21 @@ from pyspark.sql import DataFrame, functions as F
 from glossmill.llm.common import map_rows
 
 RESULT = "doc_id long, item_id long, start long, end long, edits int, n_patterns int"
+#: Bands that are aligned at once, and a code that no text has.
+ALIGNED = 1 << 15
+NOTHING = np.uint32(0xFFFFFFFF)
 
 
 @dataclass(frozen=True)
 class Settings:
     """A verbatim passage of an item is certain to be found from `pattern_chars + step_chars - 1`
     characters on (after normalising), and a whole item at any length: items shorter than
-    `min_chars` are found exactly, between word borders. Those are reported, but too short
-    to drop a document for.
+    `min_chars` are found exactly, between word borders. Those are reported; they drop documents
+    only with `short_items_drop`, as a word that is an item by itself may stand in most texts.
 
     `block_bytes` bounds the text of one index: items are dealt into as many blocks as their bytes
     need. By default an index takes less than 100 MB (see `index_bytes`). `chunk_chars` bounds the text
-    that is looked up at once.
+    that is looked up at once, and with it the memory of a search.
     """
 
     q: int = 12
@@ -46,12 +49,14 @@ class Settings:
     edit_rate: float = 0.05
     min_chars: int = 24
     block_bytes: int = 400 << 10
-    chunk_chars: int = 1 << 20
+    chunk_chars: int = 1 << 14
+    short_items_drop: bool = False
 
 
 def index_bytes(text_bytes: int, settings: Settings) -> int:
-    """What an index of so much text takes at most: per gram its hash, owner and offset and up to 32 marks, and the patterns."""
-    per_pattern = settings.pattern_chars * (8 + 4 + 2 + 32) + 4 * settings.pattern_chars + 200
+    """What an index of so much text takes at most: per gram its hash, place, owner and offset and up to 16 marks, and the patterns."""
+    n_grams = settings.pattern_chars + 1 - settings.q
+    per_pattern = n_grams * (8 + 8 + 4 + 2 + 16) + 4 * settings.pattern_chars + 400
     return text_bytes * per_pattern // settings.step_chars
 
 
@@ -75,13 +80,13 @@ def q_grams(text: np.ndarray, q: int) -> np.ndarray:
 
 
 class Index:
-    """Patterns and q-grams of one block of benchmark items."""
+    """Patterns and q-grams of one block of benchmark items. Equal patterns are searched once."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], settings: Settings):
         self.settings = settings
         self.patterns: list[tuple[int, str]] = []  # (item number, text)
         self.ids: list[int | None] = []
-        grams, owners, offsets, short = [], [], [], []
+        short = []
         for item_id, raw in items:
             text = normalise(raw)
             if len(text) < settings.min_chars:
@@ -89,120 +94,178 @@ class Index:
                 continue
             m, step = settings.pattern_chars, settings.step_chars
             starts = [0] if len(text) <= m else [*range(0, len(text) - m, step), len(text) - m]
-            for start in starts:
-                pattern = text[start : start + m]
-                g = q_grams(code_points(pattern), settings.q)
-                grams.append(g)
-                owners.append(np.full(len(g), len(self.patterns), np.int32))
-                offsets.append(np.arange(len(g), dtype=np.int16))
-                self.patterns.append((len(self.ids), pattern))
+            self.patterns += [(len(self.ids), p) for p in dict.fromkeys(text[at : at + m] for at in starts)]
             self.ids.append(item_id)
         self.n_long = len(self.patterns)
+        self.same: dict[str, list[int]] = {}
+        for p, (_, pattern) in enumerate(self.patterns):
+            self.same.setdefault(pattern, []).append(p)
+        self.texts = list(self.same)
+        self.short = ahocorasick.Automaton()
         for item_id, text in short:
+            self.short.add_word(text, [*self.short.get(text, []), len(self.patterns)])
             self.patterns.append((len(self.ids), text))
             self.ids.append(item_id)
+        self.short.make_automaton()
         self.empty = not self.patterns
-        if not self.n_long:
-            self.budget = np.zeros(len(self.patterns), int)
-            return
-        order = np.argsort(np.concatenate(grams), kind="stable")
-        self.grams = np.concatenate(grams)[order]
-        self.owners = np.concatenate(owners)[order]
-        self.offsets = np.concatenate(offsets)[order]
-        lengths = np.array([len(p) for _, p in self.patterns])
         # Short patterns get the largest budget for which the lemma still asks for a q-gram.
         q = settings.q
-        self.budget = np.minimum((lengths * settings.edit_rate).astype(int), np.maximum(lengths - q, 0) // q)
-        self.needed = lengths + 1 - q - q * self.budget
-        bits = max(16, int(np.ceil(np.log2(len(self.grams)))) + 4)
+        budget = lambda n: np.minimum((n * settings.edit_rate).astype(int), np.maximum(n - q, 0) // q)
+        self.budget = budget(np.array([len(p) for _, p in self.patterns], int))
+        if not self.n_long:
+            return
+        self.lengths = np.array([len(t) for t in self.texts])
+        self.edits = budget(self.lengths)
+        self.needed = self.lengths + 1 - q - q * self.edits
+        grams = [q_grams(code_points(t), q) for t in self.texts]
+        owners = np.repeat(np.arange(len(grams), dtype=np.int32), [len(g) for g in grams])
+        offsets = np.concatenate([np.arange(len(g), dtype=np.int16) for g in grams])
+        grams = np.concatenate(grams)
+        order = np.argsort(grams, kind="stable")
+        self.owners, self.offsets = owners[order], offsets[order]
+        self.grams, self.first = np.unique(grams[order], return_index=True)
+        self.first = np.append(self.first, len(order))
+        bits = max(16, int(np.ceil(np.log2(len(self.grams)))) + 3)
         self.shift = np.uint64(64 - min(bits, 28))
         self.seen = np.zeros(1 << (64 - int(self.shift)), bool)
         self.seen[self.grams >> self.shift] = True
 
     def find(self, text: str) -> Iterator[tuple[int, int, int, int]]:
-        """(pattern, start, end, edits) of verified matches in a normalised text.
+        """(pattern, start, end, edits) of the first verified match of every pattern in a normalised text.
 
-        Long texts are met in pieces that overlap by more than a pattern with its
-        edits, so every match lies in one piece; a match may be told twice.
+        Texts are met in pieces that overlap by more than a pattern with its edits; a
+        match belongs to the piece where it starts. A pattern that was found is not
+        searched any further.
         """
         if not self.n_long:
             return
         size, overlap = self.settings.chunk_chars, 2 * self.settings.pattern_chars + 2
-        for at in range(0, max(1, len(text) - overlap), size):
-            for p, start, end, edits in self._find(text[at : at + size + overlap]):
-                yield p, at + start, at + end, edits
+        codes, places = shortened(code_points(text), 2 * self.settings.pattern_chars)
+        n, alive = len(codes), np.ones(len(self.texts), bool)
+        for at in range(0, max(1, n - overlap), size):
+            last = at + size + overlap >= n
+            for u, start, end, edits in self._find(codes[at : at + size + overlap], size if not last else n, alive):
+                alive[u] = False
+                for p in self.same[self.texts[u]]:
+                    yield p, int(places[at + start]), int(places[at + end - 1]) + 1, edits
+            if not alive.any():
+                return
 
     def find_short(self, text: str) -> Iterator[tuple[int, int, int, int]]:
-        """The same for the items that are too short for patterns."""
-        for p in range(self.n_long, len(self.patterns)):
-            pattern = self.patterns[p][1]
-            if pattern in text:
-                for match in re.finditer(rf"(?<!\w){re.escape(pattern)}(?!\w)", text):
-                    yield p, match.start(), match.end(), 0
-
-    def _find(self, text: str) -> Iterator[tuple[int, int, int, int]]:
-        hashes = q_grams(code_points(text), self.settings.q)
-        position = np.flatnonzero(self.seen[hashes >> self.shift])
-        if not len(position):
+        """The same for the items that are too short for patterns: whole, between word borders."""
+        if not len(self.short):
             return
-        found = hashes[position]
-        left = np.searchsorted(self.grams, found, "left")
-        count = np.searchsorted(self.grams, found, "right") - left
-        position, left, count = (x[count > 0] for x in (position, left, count))
+        seen = set()
+        for last, numbers in self.short.iter(text):
+            if numbers[0] in seen:
+                continue
+            start, end = last + 1 - len(self.patterns[numbers[0]][1]), last + 1
+            if not _in_word(text[start - 1 : start]) and not _in_word(text[end : end + 1]):
+                seen.add(numbers[0])
+                for p in numbers:
+                    yield p, start, end, 0
+
+    def _find(self, text: np.ndarray, size: int, alive: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """First matches that start before `size` of the patterns that are alive, by number in `texts`."""
+        hashes = q_grams(text, self.settings.q)
+        position = np.flatnonzero(self.seen[hashes >> self.shift])
+        gram = np.minimum(np.searchsorted(self.grams, hashes[position]), len(self.grams) - 1)
+        known = self.grams[gram] == hashes[position]
+        if not alive.all():
+            known &= np.logical_or.reduceat(alive[self.owners], self.first[:-1])[gram]
+        position, gram = position[known], gram[known]
         if not len(position):
-            return
+            return []
         # One row per (text position, pattern, offset) that share a q-gram.
-        total = int(count.sum())
-        within = np.arange(total) - np.repeat(np.cumsum(count) - count, count)
-        slot = np.repeat(left, count) + within
-        owner, diagonal = self.owners[slot], np.repeat(position, count) - self.offsets[slot]
-        width = self.budget[owner] + 1
+        count = self.first[gram + 1] - self.first[gram]
+        within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        slot = np.repeat(self.first[gram], count) + within
+        again = np.r_[False, hashes[1:] == hashes[:-1]][position]
+        owner, offset, again = self.owners[slot].astype(np.int64), self.offsets[slot], np.repeat(again, count)
+        diagonal, width = np.repeat(position, count) - offset, self.edits[owner] + 1
         band = np.floor_divide(diagonal, width)
-        keys = np.stack([np.r_[owner, owner], np.r_[band, band - 1]], axis=1)
-        bands, counts = np.unique(keys, axis=0, return_counts=True)
-        for (p, b), n in zip(bands, counts):
-            if n >= self.needed[p]:
-                low = int(b) * int(self.budget[p] + 1)
-                match = align(self.patterns[p][1], text, low, 2 * int(self.budget[p] + 1), int(self.budget[p]))
-                if match:
-                    yield (int(p), *match)
+        # In a run of one character the gram before says the same for the same band.
+        fresh = alive[owner] & ~(again & (np.floor_divide(diagonal - 1, width) == band))
+        owner, offset, band = owner[fresh], offset[fresh], band[fresh] + self.settings.pattern_chars + 1
+        # Shared grams of a band are counted once per place in the pattern.
+        m, n_bands = self.settings.pattern_chars, len(text) + 2 * self.settings.pattern_chars + 4
+        key = (owner * n_bands + band) * m + offset
+        bands, counts = np.unique(np.unique(np.r_[key, key - m]) // m, return_counts=True)
+        owner, band = bands // n_bands, bands % n_bands - self.settings.pattern_chars - 1
+        kept = counts >= self.needed[owner]
+        owner, band = owner[kept], band[kept]
+        out: dict[int, tuple[int, int, int, int]] = {}
+        # Patterns of one length and budget are aligned together.
+        for length, budget in np.unique(np.stack([self.lengths[owner], self.edits[owner]], 1), axis=0) if len(owner) else ():
+            these = np.flatnonzero((self.lengths[owner] == length) & (self.edits[owner] == budget))
+            for part in np.array_split(these, -(-len(these) // ALIGNED)):
+                distinct, which = np.unique(owner[part], return_inverse=True)
+                patterns = np.stack([code_points(self.texts[u]) for u in distinct])[which]
+                start, end, edits = align(patterns, text, band[part] * (budget + 1), 2 * int(budget + 1))
+                good = (edits <= budget) & (start < size)
+                for u, s, e, n in zip(owner[part][good], start[good], end[good], edits[good]):
+                    best = out.get(u)
+                    # Neighbouring bands tell the same place; the fewest edits name it best.
+                    if best is None or s < best[1] - 2 * budget - 2 or (s <= best[1] + 2 * budget + 2 and (n, s) < (best[3], best[1])):
+                        out[u] = (int(u), int(s), int(e), int(n))
+        return sorted(out.values())
+
+
+def _in_word(char: str) -> bool:
+    return char.isalnum() or char == "_"
 
 
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def align(pattern: str, text: str, low: int, width: int, budget: int) -> tuple[int, int, int] | None:
-    """Best occurrence of `pattern` on the diagonals low .. low + width - 1.
+def shortened(codes: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
+    """`codes` with the middle of long periodic runs left out, and the place of every code that stays.
 
-    Returns (start, end, edits) in `text`, or None above `budget` edits.
+    A run repeats one to four characters. `half` characters stay on either side of what is left out, whole
+    periods, so every window of up to `half` characters is still there, at the place where it is first.
+    """
+    places = np.arange(len(codes))
+    for period in range(1, 5):
+        same = np.r_[False, codes[period:] == codes[:-period], False] if len(codes) > period else np.zeros(2, bool)
+        change = np.flatnonzero(same[1:] != same[:-1])
+        first, last = change[::2], change[1::2] + period  # a run is codes[first:last]
+        cut = np.maximum(last - first - 2 * half, 0) // period * period
+        if cut.any():
+            gone = np.zeros(len(codes) + 1, np.int64)
+            np.add.at(gone, first[cut > 0] + half, 1)
+            np.add.at(gone, (first + half + cut)[cut > 0], -1)
+            kept = np.cumsum(gone[:-1]) == 0
+            codes, places = codes[kept], places[kept]
+    return codes, places
+
+
+def align(patterns: np.ndarray, text: np.ndarray, low: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best occurrence of each row of `patterns` on the diagonals low .. low + width - 1.
+
+    Returns starts, ends and edits in `text`; all rows are aligned at once, cell by cell
+    of the band. Places before and behind the text match nothing.
     """
-    if text.startswith(pattern, low + width // 2):
-        return low + width // 2, low + width // 2 + len(pattern), 0
-    for d in range(max(low, 0), low + width):
-        if text.startswith(pattern, d):
-            return d, d + len(pattern), 0
-    # cell[k]: (edits, start) with the pattern so far matched up to position i + low + k.
-    far = (budget + 1, 0)
-    cells = [(0, low + k) if 0 <= low + k <= len(text) else far for k in range(width)]
-    for i, char in enumerate(pattern):
-        new = []
+    n, m = patterns.shape
+    edge = m + width + 1
+    padded = np.concatenate([np.full(edge, NOTHING), text, np.full(edge, NOTHING)])
+    at = np.clip(low + edge, 0, len(padded) - m - width)
+    # A cell holds edits * width + the diagonal where the occurrence starts.
+    cells = [np.full(n, k, np.int32) for k in range(width)]
+    for i in range(m):
+        new: list[np.ndarray] = []
         for k in range(width):
-            j = i + low + k  # the character of the text that is compared
-            best = far
-            if 0 <= j < len(text):
-                edits, start = cells[k]
-                best = (edits + (text[j] != char), start)
-            if k + 1 < width and cells[k + 1][0] + 1 < best[0] and 0 <= j + 1 <= len(text):
-                best = (cells[k + 1][0] + 1, cells[k + 1][1])  # a character of the pattern is missing
-            if k and new[k - 1][0] + 1 < best[0] and 0 < j + 1 <= len(text):
-                best = (new[k - 1][0] + 1, new[k - 1][1])  # the text has one more
-            new.append(best)
+            best = cells[k] + width * (padded[at + i + k] != patterns[:, i])
+            if k + 1 < width:
+                best = np.minimum(best, cells[k + 1] + width)  # a character of the pattern is missing
+            if k:
+                best = np.minimum(best, new[k - 1] + width)  # the text has one more
+            new.append(best.astype(np.int32))
         cells = new
-        if min(c[0] for c in cells) > budget:
-            return None
-    edits, start, k = min((c[0], c[1], k) for k, c in enumerate(cells))
-    return (start, len(pattern) + low + k, edits) if edits <= budget else None
+    table = np.stack(cells, 1)
+    k = np.argmin(table, 1)
+    best, low = table[np.arange(n), k], at - edge
+    return np.clip(low + best % width, 0, len(text)), np.clip(low + m + k, 0, len(text)), best // width
 
 
 def blocks(benchmark: DataFrame, settings: Settings) -> Iterator[Index]:
@@ -224,8 +287,9 @@ def blocks(benchmark: DataFrame, settings: Settings) -> Iterator[Index]:
 def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per document and benchmark item it holds a pattern of.
 
-    `start, end`: from the first to the last matched character, in the normalised
-    text; `edits`: of the best pattern; `n_patterns` of the item that were found.
+    Each pattern counts where it is found first: `start, end` reach from the first to the last
+    character of these places in the normalised text, `edits` are those of the best of them,
+    `n_patterns` of the item, different ones, were found.
     Null and empty texts on either side match nothing, repeated rows are reported
     once per row, a null doc_id or item_id stays null, other columns are ignored.
     """
@@ -279,7 +343,7 @@ SCHEMA = pa.schema(
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of `docs`, all columns, that hold no pattern of the benchmark.
 
-    Items shorter than `min_chars` drop nothing.
+    Items shorter than `min_chars` drop nothing unless `short_items_drop` is set.
     Each block of the benchmark is one filter over batches: no join, no shuffle.
     """
     spark, at = docs.sparkSession, docs.columns.index("text")
@@ -287,9 +351,12 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Setti
         shared = spark.sparkContext.broadcast(index)
 
         def run(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
-            clean = [
-                next(shared.value.find(normalise(t.as_py())), None) is None for t in batch.column(at)
-            ]
+            clean = []
+            for text in map(normalise, batch.column(at).to_pylist()):
+                found = shared.value.find(text)
+                if settings.short_items_drop:
+                    found = chain(found, shared.value.find_short(text))
+                clean.append(next(found, None) is None)
             return batch.filter(pa.array(clean, pa.bool_()))
 
         docs = map_rows(docs, run, docs.schema)

@@ -1,5 +1,6 @@
 """Fill in the middle, license scans and the filter audit, against plain Python."""
 
+import time
 import hashlib
 import pickle
 import random
@@ -326,3 +327,32 @@ def test_an_index_takes_no_more_than_its_measure(spark):
     found = list(decontaminate.blocks(items, small))
     assert len(found) == 3 and sum(len(x.ids) for x in found) == 60
     assert all(len(pickle.dumps(x)) < 2 * decontaminate.index_bytes(small.block_bytes, small) for x in found)
+
+
+def test_runs_and_long_texts_take_linear_time():
+    item = "Name: " + "_" * 120 + " date of birth and signature of the applicant"
+    half = "please fill in here " + "_" * 35 + " and go on with the next form, dear applicant"
+    index = decontaminate.Index([(1, item), (2, half), (3, "Paris, France"), (4, "__")], decontaminate.Settings())
+    began = time.monotonic()
+    found = {index.ids[index.patterns[p][0]] for p, *_ in index.find("_" * 1_000_000)}
+    assert found == {1} and time.monotonic() - began < 6
+    began = time.monotonic()
+    other = decontaminate.Index([(2, half)], decontaminate.Settings())
+    assert list(other.find("_" * 1_000_000)) == [] and time.monotonic() - began < 10
+    text = "x" + "_" * 5000 + "." * 3000 + "-=" * 4000 + half.lower() + "abc" * 2000 + "!"
+    codes, places = decontaminate.shortened(decontaminate.code_points(text), 100)
+    assert len(codes) < 1000 and "".join(text[i] for i in places) == codes.tobytes().decode("utf-32-le")
+    short = "".join(text[i] for i in places)
+    assert {text[i : i + 60] for i in range(len(text) - 59)} == {short[i : i + 60] for i in range(len(short) - 59)}
+    assert all(text[places[i] : places[i] + 60] == short[i : i + 60] for i in (0, 100, 101, len(short) - 60))
+    at = text.index(half.lower())
+    assert min(s for _, s, *_ in other.find(text)) == at and max(e for *_, e, _ in other.find(text)) == at + len(half)
+    assert {index.patterns[p][1] for p, *_ in index.find_short("in paris, france __ " + "_" * 1000)} == {"paris, france", "__"}
+
+
+def test_short_items_drop_documents_where_asked(spark):
+    docs = spark.createDataFrame([(0, "It is PARIS,\nFrance."), (1, "Paris, Frances"), (2, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "Paris, France")], "item_id long, text string")
+    kept = decontaminate.drop_leaks(docs, items, decontaminate.Settings(short_items_drop=True))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
+    assert decontaminate.drop_leaks(docs, items).count() == 3
