@@ -14,6 +14,7 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from glossmill.llm.common import saved
 from glossmill.session import shared_path
 
 N_SLOTS = 8192
@@ -23,7 +24,7 @@ Sizes = Mapping[int, int]
 
 
 def virtual_slot(doc_id: str = "doc_id", text: str = "text", n_slots: int = N_SLOTS) -> Column:
-    """The slot of a record, from the id and the text, so rows that share an id spread."""
+    """The slot of a record, from the id and the text, so rows that share an id spread; see `sized_rows` for equal rows."""
     return F.pmod(F.xxhash64(doc_id, text), F.lit(n_slots)).cast("int")
 
 
@@ -32,8 +33,8 @@ def record_size(text: str = "text") -> Column:
 
 
 def slot_sizes(sized: DataFrame) -> dict[int, int]:
-    """Bytes per slot of `vslot, size`; at most as many rows as there are slots."""
-    return {r[0]: r[1] for r in sized.groupBy("vslot").agg(F.sum("size")).collect()}
+    """Bytes per slot of `vslot, size, n`; at most as many rows as there are slots."""
+    return {r[0]: r[1] for r in sized.groupBy("vslot").agg(F.sum(F.col("size") * F.col("n"))).collect()}
 
 
 def balanced_map(sizes: Sizes, n_shards: int, n_slots: int = N_SLOTS) -> list[int]:
@@ -97,35 +98,55 @@ def load_map(spark: SparkSession, folder: str, version: int) -> list[int]:
 
 
 def sized_rows(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
-    """`doc_id, size, text_crc32, vslot` of `docs(doc_id, text)`; a null text is empty."""
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        record_size().alias("size"),
-        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-        virtual_slot(n_slots=n_slots).alias("vslot"),
+    """`doc_id, size, text_crc32, vslot, n` of `docs(doc_id, text)`; a null text is empty.
+
+    Rows equal in id and text are one class with a number of copies, counted map-side. Copies are dealt
+    over the slots from the class's own on, so a class of any number weighs on all slots alike;
+    a row that occurs once stays in its `virtual_slot`. `n` is the number of copies in the slot.
+    """
+    classes = (
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            record_size().alias("size"),
+            F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+            F.xxhash64("doc_id", "text").alias("hash"),
+        )
+        .groupBy("doc_id", "size", "text_crc32", "hash")
+        .agg(F.count("*").alias("copies"))
+    )
+    # The outer form, as the optimizer adds no filter of its own to it.
+    dealt = classes.select("*", F.explode_outer(F.sequence(F.lit(0), F.least("copies", F.lit(n_slots)).cast("int") - 1)).alias("k"))
+    left_over = F.col("k") < F.pmod("copies", F.lit(n_slots))
+    return dealt.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.pmod(F.pmod("hash", F.lit(n_slots)) + F.col("k"), F.lit(n_slots)).cast("int").alias("vslot"),
+        (F.floor(F.col("copies") / n_slots) + left_over.cast("long")).alias("n"),
     )
 
 
 def place(rows: DataFrame, slot_map: list[int]) -> DataFrame:
-    """Add `shard` and `slot`, the place of the record in its shard, 0, 1, 2, ...
+    """One row per copy with `shard` and `slot`, the place of the record in its shard, 0, 1, 2, ...
 
     A place is the number of records in the shard's earlier virtual slots, plus the
     record's number in its own, so a task orders one virtual slot, not a shard. Rows
     with equal ids, null ones too, take places in the order of their contents.
     """
     mapped = rows.sparkSession.createDataFrame(list(enumerate(slot_map)), "vslot int, shard int")
-    per_slot = rows.groupBy("vslot").agg(F.count("*").alias("n"))
+    per_slot = rows.groupBy("vslot").agg(F.sum("n").alias("total"))
     earlier = W.partitionBy("shard").orderBy("vslot").rowsBetween(W.unboundedPreceding, -1)
     # One row per virtual slot, a fixed number.
     starts = mapped.join(per_slot, "vslot").select(
-        "vslot", "shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first")
+        "vslot", "shard", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("first")
     )
-    own = F.row_number().over(W.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size")) - 1
+    own = W.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size").rowsBetween(W.unboundedPreceding, -1)
     return (
-        rows.withColumn("own", own)
+        rows.withColumn("own", F.coalesce(F.sum("n").over(own), F.lit(0)))
         .join(F.broadcast(starts), "vslot")
-        .withColumn("slot", (F.col("first") + F.col("own")).cast("long"))
-        .drop("own", "first")
+        .withColumn("copy", F.explode_outer(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+        .withColumn("slot", (F.col("first") + F.col("own") + F.col("copy")).cast("long"))
+        .drop("own", "first", "copy", "n")
     )
 
 
@@ -135,12 +156,13 @@ def assign(docs: DataFrame, n_shards: int, n_slots: int = N_SLOTS, folder: str |
     The map is stored in `folder` (default: a new one in the shared folder) as version 1,
     edited for the measured sizes as version 2 where it is out of balance, and the records are placed
     by what is stored. A folder that has versions is edited from its last one, so slots move only where they must.
-    Every row of `docs` is placed, repeated rows and null ids and texts included;
+    Every row of `docs` is placed, rows equal in id and text over all slots, repeated rows and null ids and texts included;
     other columns are ignored, an empty table gives an empty result.
     """
     spark = docs.sparkSession
     folder = folder or shared_path(spark, "slot-map")
-    rows = sized_rows(docs, n_slots)
+    # Read three times below: numbers only, without the texts.
+    rows = saved(sized_rows(docs, n_slots), "slot-rows")
     sizes = slot_sizes(rows)
     version = last_version(spark, folder)
     if not version:
@@ -164,10 +186,21 @@ def last_version(spark: SparkSession, folder: str) -> int:
 
 
 def write_shards(docs: DataFrame, slot_map: list[int], dest: str) -> None:
-    """All columns of `docs` as Parquet, one folder `shard=N` per shard."""
-    spark, names = docs.sparkSession, docs.columns
+    """All columns of `docs` as Parquet, one folder `shard=N` per shard.
+
+    Rows equal in id and text that are more than a slot's share of all go to slots drawn by a seeded number,
+    as they would weigh on one shard. There are at most as many such classes as slots.
+    """
+    spark, names, n_slots = docs.sparkSession, docs.columns, len(slot_map)
     mapped = spark.createDataFrame(list(enumerate(slot_map)), "_vslot int, _shard int")
-    rows = docs.select(F.struct(*names).alias("_row"), virtual_slot(n_slots=len(slot_map)).alias("_vslot"))
+    classes = docs.groupBy(F.xxhash64("doc_id", "text").alias("_class")).agg(F.count("*").alias("_n"))
+    hot = classes.filter(F.col("_n") > max(1, docs.count() / n_slots)).select("_class", F.lit(True).alias("_hot"))
+    own, drawn = virtual_slot(n_slots=n_slots), F.floor(F.rand(7) * n_slots).cast("int")
+    rows = (
+        docs.select(F.struct(*names).alias("_row"), F.xxhash64("doc_id", "text").alias("_class"), own.alias("_own"), drawn.alias("_drawn"))
+        .join(F.broadcast(hot), "_class", "left")
+        .select("_row", F.when(F.col("_hot"), F.col("_drawn")).otherwise(F.col("_own")).alias("_vslot"))
+    )
     placed = rows.join(F.broadcast(mapped), "_vslot").repartition("_vslot")
     out = placed.select("_row.*", F.col("_shard").alias("shard")) if "shard" not in names else placed.select(
         *[F.col(f"_row.{n}").alias(n) for n in names if n != "shard"],

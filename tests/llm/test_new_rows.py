@@ -356,3 +356,20 @@ def test_short_items_drop_documents_where_asked(spark):
     kept = decontaminate.drop_leaks(docs, items, decontaminate.Settings(short_items_drop=True))
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
     assert decontaminate.drop_leaks(docs, items).count() == 3
+
+
+def test_equal_rows_spread_over_all_shards(spark, tmp_path):
+    rows = [(None, "the same text in half of the rows")] * 2000 + [(i, f"text number {i}") for i in range(2000)]
+    docs = frame(spark, rows)
+    got = sharding.assign(docs, 8, 512).toPandas()
+    assert len(got) == 4000 and got.doc_id.isna().sum() == 2000
+    loads = got.groupby("shard")["size"].sum()
+    assert len(loads) == 8 and loads.max() < 1.02 * loads.mean()
+    for _, shard in got.groupby("shard"):
+        assert sorted(shard.slot) == list(range(len(shard)))
+    # More copies than slots: every slot has its share.
+    few = sharding.sized_rows(frame(spark, [(1, "x")] * 1001 + [(2, "y")]), 16).groupBy("vslot").agg(F.sum("n").alias("n")).collect()
+    assert sum(r.n for r in few) == 1002 and {r.n for r in few} <= {62, 63, 64}
+    sharding.write_shards(docs, sharding.balanced_map({}, 8, 512), str(tmp_path / "shards"))
+    counts = [r[1] for r in spark.read.parquet(str(tmp_path / "shards")).groupBy("shard").count().collect()]
+    assert sum(counts) == 4000 and max(counts) < 1.3 * 500
