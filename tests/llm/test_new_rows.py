@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from glossmill.llm import audit, decontaminate, license_rules, licenses, middle, sharding
+from glossmill.llm import audit, decontaminate, license_rules, licenses, middle, secrets, sharding
 from glossmill.llm.oracles import ORACLES
 from glossmill.llm.queries import QUERIES
 
@@ -373,3 +373,43 @@ def test_equal_rows_spread_over_all_shards(spark, tmp_path):
     sharding.write_shards(docs, sharding.balanced_map({}, 8, 512), str(tmp_path / "shards"))
     counts = [r[1] for r in spark.read.parquet(str(tmp_path / "shards")).groupBy("shard").count().collect()]
     assert sum(counts) == 4000 and max(counts) < 1.3 * 500
+
+
+# --- secrets ---------------------------------------------------------------------
+
+
+def test_values_after_an_announcement_are_candidates_whatever_they_are(spark):
+    texts = [
+        'password = "hunter2!" end',
+        "secret=correcthorsebatterystaple, and",
+        "so Zx8!Kq2Lm#P0vR7tY it is",
+        "AWS_SECRET_ACCESS_KEY_2=wJalrXUtnFEMIK7MDENGbPxRfiCYEX then",
+        "Authorization: Bearer abc",
+        "'api-key': 'a b c'; key:1;key:2;key:3;key:4;key:5;key:6;key:7;key:8;key:9",
+        None,
+        "",
+        "x" * 100_000 + "=" * 100_000 + "key" * 50_000,
+        "plain words, and a time of 10:30 o'clock",
+        "key: ,;",
+    ]
+    docs = frame(spark, [(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, value int")
+    got = {}
+    for r in secrets.candidates(docs).orderBy("doc_id", "n").collect():
+        got.setdefault(r.doc_id, []).append(r.value)
+        if r.doc_id < 8:
+            assert r.before + r.value + r.after in texts[r.doc_id]
+            assert len(r.before) == 32 or texts[r.doc_id].startswith(r.before + r.value)
+    assert got[0] == ["hunter2!"] and got[1] == ["correcthorsebatterystaple"] and got[2] == ["Zx8!Kq2Lm#P0vR7tY"]
+    assert got[3] == ["wJalrXUtnFEMIK7MDENGbPxRfiCYEX"] and got[4] == ["abc"]
+    assert got[5][0] == "a b c" and len(got[5]) >= 2
+    assert not {6, 7, 9, 10} & set(got)
+
+
+def test_findings_that_no_template_writes(spark):
+    forest = secrets.train(secrets.labelled_findings(spark))
+    secret = ['db_password: "tr0ub4dor&3"', "secret=correcthorsebatterystaple", "export API_TOKEN=q9Vn3LxT0aWz7RkE2sYp", 'password = "hunter2!"', "AWS_SECRET_ACCESS_KEY_2=wJalrXUtnFEMIK7MDENGbPxRfiCYEX"]
+    harmless = ["author: Miller wrote this", "the key: patience", "password = ${DB_PASS}", "token: string", "see report-2024-final-version-03.html", "key: one of the things"]
+    docs = frame(spark, [(i, t) for i, t in enumerate(secret + harmless)])
+    told = {r.doc_id for r in secrets.scan(docs, forest).filter("is_secret").collect()}
+    assert len(told & set(range(len(secret)))) >= 4
+    assert len(told - set(range(len(secret)))) <= 1
