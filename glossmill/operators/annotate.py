@@ -19,6 +19,8 @@ Annotator = Callable[[list[str]], list[dict]]
 
 # A lexicon of more than this, measured, is joined and not sent to every task.
 MAX_LOOKUP_BYTES = 64 * 1024 * 1024
+# Python tasks work on pieces of a batch of about this size, as what they make of one takes many times as much.
+PIECE_BYTES = 4 * 1024 * 1024
 
 
 def annotate(
@@ -107,6 +109,23 @@ def _arrow_types() -> dict[str, type]:
     return {"forms": pa.Array, "return": pa.Array}
 
 
+def _pieces_of(most: int) -> Callable[[object], Iterator]:
+    """A function that cuts an Arrow batch or array into runs of rows of at most `most` bytes, or of one row.
+
+    It is a closure, so tasks get it by value and need not import this package.
+    """
+
+    def pieces(rows):  # type: ignore[no-untyped-def]
+        if len(rows) < 2 or rows.nbytes <= most:
+            yield rows
+        else:
+            half = len(rows) // 2
+            yield from pieces(rows.slice(0, half))
+            yield from pieces(rows.slice(half))
+
+    return pieces
+
+
 def shape_sentences(texts: Column) -> Column:
     """Array of sentence texts -> array of sentence structs, by the shape rules."""
     tokenised = F.transform(texts, lambda t: F.struct(t.alias("text"), tokens(t).alias("token")))
@@ -200,8 +219,10 @@ def annotate_with(
     returns one dict each with the keys token, lemma, pos1, pos2 and dep; a key
     left out gives a NULL array. A sentence that makes it fail, or whose arrays
     differ in size, keeps its text, has NULL arrays, and is listed in the column
-    `_errors`, which is NULL for a clean record.
+    `_errors`, which is NULL for a clean record. A task holds one batch of Spark's and the
+    arrays of about `PIECE_BYTES` of it, or of one record if that has more.
     """
+    pieces = _pieces_of(PIECE_BYTES)
     kept = [f for f in records.schema.fields if f.name != "texts"]
     out_schema = T.StructType(
         kept
@@ -245,7 +266,7 @@ def annotate_with(
             return many(texts[:half]) + many(texts[half:])
 
         strings = pa.list_(pa.string())
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole)):
             lists = batch.column(batch.schema.get_field_index("texts"))
             texts = lists.flatten()
             parts, messages = [], []

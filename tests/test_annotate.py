@@ -1,4 +1,7 @@
+import importlib
+
 import pytest
+from pyspark.accumulators import AccumulatorParam
 from pyspark.sql import functions as F
 
 from glossmill.operators.annotate import MAX_LOOKUP_BYTES, lexicon_bytes
@@ -7,6 +10,16 @@ from glossmill.functions.text import TOKEN_RULE
 from glossmill.schemas import TOKEN_FIELDS
 
 KEYS = ["k"]
+# The package has a function of the same name.
+annotate_module = importlib.import_module("glossmill.operators.annotate")
+
+
+class Largest(AccumulatorParam):
+    def zero(self, value):
+        return 0
+
+    def addInPlace(self, a, b):
+        return max(a, b)
 
 
 @pytest.fixture
@@ -226,3 +239,26 @@ def test_frequent_form_is_split_by_adaptive_execution(spark, conf, tmp_path):
 
 def test_all_token_fields_are_declared():
     assert TOKEN_FIELDS == ("token", "lemma", "pos1", "pos2", "dep")
+
+
+def test_a_plugin_task_holds_the_arrays_of_a_piece_of_its_batch(spark, monkeypatch):
+    """Before, it held those of the whole batch, which here take 70 MB."""
+    monkeypatch.setattr(annotate_module, "PIECE_BYTES", 100_000, raising=False)
+    held = spark.sparkContext.accumulator(0, Largest())
+
+    def factory():
+        import pyarrow as pa
+
+        def run(texts):
+            held.add(pa.total_allocated_bytes())
+            tokens = [t.split() for t in texts]
+            return [{f: t for f in ("token", "lemma", "pos1", "pos2", "dep")} for t in tokens]
+
+        return run
+
+    text = F.concat(F.col("k").cast("string"), F.repeat(F.lit(" word"), 300))
+    records = spark.range(4000).coalesce(1).select(F.col("id").alias("k")).select("k", F.array(text).alias("texts"))
+    rows = annotate_with(records, factory)
+    sums = rows.select(F.sum("k"), F.sum(F.size(F.col("sentences")[0]["dep"])), F.count("_errors")).first()
+    assert tuple(sums) == (4000 * 3999 // 2, 4000 * 301, 0)
+    assert held.value < 20e6
