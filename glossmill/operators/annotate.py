@@ -53,13 +53,14 @@ def lexicon_bytes(lexicon: DataFrame) -> int:
 
 
 def _annotate_by_lookup(records: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Looks the forms of a batch of records up in one call; no row per token and no shuffle."""
+    """Looks the forms of many records up in one call; no row per token and no shuffle."""
     names = ("lemma", "pos1", "pos2")
     table = lexicon.select("form", *names).filter("form IS NOT NULL").toArrow().combine_chunks()
     shared = records.sparkSession.sparkContext.broadcast(table)
     readings = T.StructType([T.StructField(n, T.ArrayType(T.ArrayType(T.StringType()))) for n in names])
+    pieces = _pieces_of(PIECE_BYTES)
 
-    def look_up(forms):  # type: ignore[no-untyped-def]
+    def look_up(batches):  # type: ignore[no-untyped-def]
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -70,14 +71,15 @@ def _annotate_by_lookup(records: DataFrame, lexicon: DataFrame) -> DataFrame:
             offsets = pa.array(np.append(0, np.cumsum(lengths)), pa.int32())
             return pa.ListArray.from_arrays(offsets, values, mask=pc.is_null(like))
 
-        sentences = forms.flatten()
-        flat = sentences.flatten()
-        known = shared.value
-        places = pc.index_in(flat, known["form"])
-        found = [known[n].combine_chunks().take(places) for n in names]
-        # The lemma of an unknown form is the form.
-        found[0] = pc.coalesce(found[0], flat)
-        return pa.StructArray.from_arrays([lists(forms, lists(sentences, x)) for x in found], names)
+        known = {n: shared.value[n].combine_chunks() for n in ("form", *names)}
+        for forms in (piece for whole in batches for piece in pieces(whole)):
+            sentences = forms.flatten()
+            flat = sentences.flatten()
+            places = pc.index_in(flat, known["form"])
+            found = [known[n].take(places) for n in names]
+            # The lemma of an unknown form is the form.
+            found[0] = pc.coalesce(found[0], flat)
+            yield pa.StructArray.from_arrays([lists(forms, lists(sentences, x)) for x in found], names)
 
     look_up.__annotations__ = _arrow_types()
     looked_up = F.arrow_udf(look_up, readings)
@@ -106,7 +108,7 @@ def _annotate_by_lookup(records: DataFrame, lexicon: DataFrame) -> DataFrame:
 def _arrow_types() -> dict[str, type]:
     import pyarrow as pa
 
-    return {"forms": pa.Array, "return": pa.Array}
+    return {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
 
 
 def _pieces_of(most: int) -> Callable[[object], Iterator]:

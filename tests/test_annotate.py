@@ -262,3 +262,29 @@ def test_a_plugin_task_holds_the_arrays_of_a_piece_of_its_batch(spark, monkeypat
     sums = rows.select(F.sum("k"), F.sum(F.size(F.col("sentences")[0]["dep"])), F.count("_errors")).first()
     assert tuple(sums) == (4000 * 3999 // 2, 4000 * 301, 0)
     assert held.value < 20e6
+
+
+def test_pieces_of_a_batch_give_the_same_annotations(spark, records, lexicon, monkeypatch):
+    many = spark.range(40).coalesce(1).withColumnRenamed("id", "i").crossJoin(records.coalesce(1))
+    many = many.withColumn("k", F.col("i") * 10 + F.col("k")).drop("i")
+    whole = [by_key(annotate(many, lexicon, KEYS)), by_key(annotate_with(many, splitting_annotator()))]
+    monkeypatch.setattr(annotate_module, "PIECE_BYTES", 200)
+    cuts = spark.sparkContext.accumulator(0)
+    pieces_of = annotate_module._pieces_of
+
+    def counted(most):
+        pieces = pieces_of(most)
+
+        def run(rows):
+            for piece in pieces(rows):
+                cuts.add(1)
+                assert piece.nbytes <= most or len(piece) == 1
+                yield piece
+
+        return run
+
+    monkeypatch.setattr(annotate_module, "_pieces_of", counted)
+    for before, make in zip(whole, (lambda: annotate(many, lexicon, KEYS), lambda: annotate_with(many, splitting_annotator()))):
+        assert by_key(make()) == before and len(before) == 200
+        assert cuts.value > 20
+        cuts = spark.sparkContext.accumulator(0)
