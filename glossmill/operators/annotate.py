@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -34,7 +36,8 @@ def annotate(
     Without a lexicon the annotation is a projection: no join and no shuffle.
     With one (`form, lemma, pos1, pos2`, one row per form), tokens take its
     lemma and tags, and the shape rules fill in for unknown forms. The text of the lexicon is
-    measured first, by a job of its own. Up to `max_lookup_bytes`, records stay where they are and
+    measured first, by a job of its own, and where it is too large, that of its rows that do not just
+    repeat the shape rules. Up to `max_lookup_bytes` of either, records stay where they are and
     the forms of many are looked up at once. Beyond that, tokens become rows that are
     joined with it; `keys` must then identify a record. `dep` is NULL either way; only a
     plug-in of `annotate_with` fills it.
@@ -43,6 +46,9 @@ def annotate(
         return records.withColumn("sentences", shape_sentences(F.col("texts"))).drop("texts")
     if lexicon_bytes(lexicon) <= max_lookup_bytes:
         return _annotate_by_lookup(records, lexicon)
+    telling = _beyond_the_shape_rules(lexicon)
+    if lexicon_bytes(telling) <= max_lookup_bytes:
+        return _annotate_by_lookup(records, telling)
     return _annotate_from_lexicon(records, lexicon, list(keys))
 
 
@@ -52,6 +58,18 @@ def lexicon_bytes(lexicon: DataFrame) -> int:
     return lexicon.agg(F.sum(sum(sizes[1:], sizes[0]).cast("long"))).first()[0] or 0
 
 
+def _beyond_the_shape_rules(lexicon: DataFrame) -> DataFrame:
+    """The rows without which some token would be annotated otherwise.
+
+    The shape rules look at the first character of a token, and give a character the tags of
+    its lower case (tested for all of them), so they can be asked about the form.
+    """
+    form = F.col("form")
+    rules = {"lemma": form, "pos1": shape_pos1(form), "pos2": shape_pos2(form)}
+    tells = reduce(or_, (F.coalesce(F.col(name), rule) != rule for name, rule in rules.items()))
+    return lexicon.filter(form.isNotNull() & tells)
+
+
 def _annotate_by_lookup(records: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Looks the forms of many records up in one call; no row per token and no shuffle."""
     names = ("lemma", "pos1", "pos2")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from glossmill.operators.annotate import MAX_LOOKUP_BYTES, lexicon_bytes
 from glossmill import annotate, annotate_with, build_lexicon, flatten_sentences, flatten_tokens
-from glossmill.functions.text import TOKEN_RULE
+from glossmill.functions.text import TOKEN_RULE, shape_pos1, shape_pos2
 from glossmill.schemas import TOKEN_FIELDS
 
 KEYS = ["k"]
@@ -288,3 +288,23 @@ def test_pieces_of_a_batch_give_the_same_annotations(spark, records, lexicon, mo
         assert by_key(make()) == before and len(before) == 200
         assert cuts.value > 20
         cuts = spark.sparkContext.accumulator(0)
+
+
+def test_shape_rules_give_a_character_the_tags_of_its_lower_case(spark):
+    """All code points but the surrogates, alone and as the first of a token."""
+    points = spark.range(0x110000).filter("id < 55296 OR id > 57343")
+    text = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    for token in (text, F.concat(text, F.lit("a"))):
+        same = [shape(token) == shape(F.lower(token)) for shape in (shape_pos1, shape_pos2)]
+        assert points.filter(~same[0] | ~same[1]).isEmpty()
+
+
+def test_lexicon_rows_that_repeat_the_shape_rules_are_not_sent(spark, records, lexicon):
+    plain = spark.range(2000).selectExpr("concat('w', id) AS form", "concat('w', id) AS lemma", "'X' AS pos1", "'XX' AS pos2")
+    rest = spark.createDataFrame([("3", None, "NUM", None), (".", ".", None, "."), (None, "x", "Y", "Z")], lexicon.schema)
+    large = lexicon.union(plain).union(rest)
+    limit = lexicon_bytes(lexicon)
+    assert lexicon_bytes(large) > 100 * limit
+    df = annotate(records, large, KEYS, limit)
+    assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+    assert by_key(df) == by_key(annotate(records, large, KEYS)) == by_key(annotate(records, large, KEYS, 0))
