@@ -14,7 +14,7 @@ from glossmill.operators.blocks import MAX_BLOCK_BYTES, group_blocks
 from glossmill.operators.parse import parse_blocks
 from glossmill.schemas import QUARANTINE_SCHEMA, STORED_SCHEMA
 from glossmill.session import get_session, settings, split_settings
-from glossmill.sources.records import split_outcomes, staged
+from glossmill.sources.records import split_outcomes, staged, with_codec
 from glossmill.sources.text import scan_lines
 
 # Where the job reads and writes by default.
@@ -46,6 +46,7 @@ def ingest(
     partitions: int | None = None,
     ordered: bool = False,
     max_width: int = MAX_WIDTH,
+    compression: str | None = None,
 ) -> dict[str, int]:
     """Read `src`, write nested records to `dest`, and count the rows written.
 
@@ -60,7 +61,8 @@ def ingest(
     for an expensive annotator. `ordered` writes records in file order, for the
     price of a range shuffle. `_errors` of a plug-in annotator is written next to
     the record fields; JSON leaves it out of clean records. Settings of the session
-    that the job needs are put back when it ends.
+    that the job needs are put back when it ends. `compression` is the codec of both
+    outputs, as in `write_records`; `read_records` finds it by the names of the files.
     """
     lines = scan_lines(spark, src)
     held = split_settings(spark) | {
@@ -83,7 +85,7 @@ def ingest(
             annotated = annotate_with(rows, annotator)
         if ordered and renests:
             annotated = _in_file_order(annotated, partitions)
-        return _write_outcomes(annotated, dest, quarantine or f"{dest.rstrip('/')}.quarantine", fmt)
+        return _write_outcomes(annotated, dest, quarantine or f"{dest.rstrip('/')}.quarantine", fmt, compression)
 
 
 def _outcomes(blocks: DataFrame) -> DataFrame:
@@ -97,7 +99,9 @@ def _outcomes(blocks: DataFrame) -> DataFrame:
     )
 
 
-def _write_outcomes(rows: DataFrame, dest: str, quarantine: str, fmt: str) -> dict[str, int]:
+def _write_outcomes(
+    rows: DataFrame, dest: str, quarantine: str, fmt: str, compression: str | None = None
+) -> dict[str, int]:
     """One write of both outcomes, put in place together; counted in the tasks that write, where a retry counts once."""
     rejected = F.col("reason").isNotNull()
     fields = [f for f in (*STORED_SCHEMA.names, "_errors") if f in rows.columns]
@@ -118,7 +122,7 @@ def _write_outcomes(rows: DataFrame, dest: str, quarantine: str, fmt: str) -> di
     )
     with staged(rows.sparkSession, [dest, quarantine]) as (records_stage, rejected_stage):
         both = f"{records_stage}.both"
-        counted.write.partitionBy(OUTCOME).format(fmt).save(both)
+        with_codec(counted.write.partitionBy(OUTCOME).format(fmt), compression).save(both)
         split_outcomes(rows.sparkSession, both, OUTCOME, {"record": records_stage, "rejected": rejected_stage})
         return dict(seen.get)
 
@@ -159,6 +163,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--src", default=DEFAULT_SRC)
     parser.add_argument("--dest", default=DEFAULT_DEST)
     parser.add_argument("--format", default="json", choices=["json", "parquet"])
+    parser.add_argument("--compression", help="codec of the outputs, such as gzip")
     parser.add_argument("--quarantine")
     parser.add_argument("--lexicon", help="parquet table with form, lemma, pos1, pos2")
     parser.add_argument("--partitions", type=int)
@@ -185,6 +190,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         max_block_bytes=args.max_block_bytes,
         max_record_bytes=args.max_record_bytes,
         max_width=args.max_width,
+        compression=args.compression,
     )
     print(counts)
 

@@ -184,6 +184,9 @@ def capital_annotator(rule: str = TOKEN_RULE) -> Callable[[], Annotator]:
     return factory
 
 
+#: Of the nested JSON that queries write: it says every token up to four times.
+COMPRESSION = "gzip"
+
 #: What a part may hold in the queries that show them.
 PART_BYTES = 600
 
@@ -490,7 +493,7 @@ def _record_columns() -> list[Column | str]:
 
 def _round_trip(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
     path = shared_path(spark, "records")
-    write_records(_nested_documents(spark, sf_dir), path, fmt)
+    write_records(_nested_documents(spark, sf_dir), path, fmt, COMPRESSION if fmt == "json" else None)
     return read_records(spark, path, fmt=fmt)
 
 
@@ -554,7 +557,7 @@ def read_back_unknown_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_parts_bad_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks of which one line is not UTF-8 are rejected with all of their parts, at a low limit."""
     dest = shared_path(spark, "ingested")
-    ingest(spark, _edge_corpus(spark, sf_dir), dest, max_block_bytes=PART_BYTES)
+    ingest(spark, _edge_corpus(spark, sf_dir), dest, max_block_bytes=PART_BYTES, compression=COMPRESSION)
     good = read_records(spark, dest, STORED_SCHEMA).select(
         "id", F.lit("ok").alias("status"), "part", F.col("sentences.text").alias("texts")
     )
@@ -577,7 +580,7 @@ def ingest_parts_bad_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_parts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records put together again from the rows of a run with a low limit."""
     dest = shared_path(spark, "ingested")
-    ingest(spark, _text_corpus(spark, sf_dir), dest, max_block_bytes=PART_BYTES)
+    ingest(spark, _text_corpus(spark, sf_dir), dest, max_block_bytes=PART_BYTES, compression=COMPRESSION)
     rows = read_records(spark, dest, STORED_SCHEMA)
     part = F.struct(F.coalesce("part", F.lit(-1)).alias("part"), F.col("sentences.text").alias("texts"))
     texts = F.flatten(F.sort_array(F.collect_list(part))["texts"])
@@ -593,7 +596,7 @@ def ingest_parts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ingested(spark: SparkSession, src: str, **options: object) -> DataFrame:
     dest = shared_path(spark, "ingested")
-    ingest(spark, src, dest, **options)
+    ingest(spark, src, dest, compression=COMPRESSION, **options)
     return read_records(spark, dest)
 
 
@@ -622,7 +625,7 @@ def ingest_plugin_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_ragged_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records and quarantined blocks of one run, together."""
     dest = shared_path(spark, "ingested")
-    ingest(spark, _ragged_corpus(spark, sf_dir), dest, quarantine=f"{dest}-rejected")
+    ingest(spark, _ragged_corpus(spark, sf_dir), dest, quarantine=f"{dest}-rejected", compression=COMPRESSION)
     good = read_records(spark, dest).select("id", F.lit("ok").alias("status"))
     bad = spark.read.schema("reason string, lines array<string>").json(f"{dest}-rejected")
     return good.unionByName(bad.select(F.col("lines")[0].alias("id"), F.col("reason").alias("status")))

@@ -184,3 +184,20 @@ def test_bad_blocks_add_no_scan(spark, tmp_path):
     ingest(spark, write(tmp_path / "b.txt", "id1\nt\ns\n\n" * 100), str(tmp_path / "out2"))
     assert with_bad == len(jobs.getJobIdsForGroup(group + "2"))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_compressed_outputs(spark, tmp_path, capsys):
+    """Both outputs, and the same records, in a small part of the bytes."""
+    text = "".join(f"id{i}\nt\n" + "Words of a sentence, again and again.\n" * 20 + "\nbad\n\n" for i in range(200))
+    path = write(tmp_path / "a.txt", text)
+    rows, octets = [], []
+    for compression in (None, "gzip"):
+        dest = tmp_path / str(compression)
+        assert ingest(spark, path, str(dest), compression=compression) == {"records": 200, "quarantined": 200}
+        rows.append((found(spark, str(dest)), spark.read.schema("lines array<string>").json(f"{dest}.quarantine").count()))
+        octets.append(sum(p.stat().st_size for p in dest.glob("part-*")))
+    assert rows[0] == rows[1] and rows[0][1] == 200
+    assert octets[1] * 5 < octets[0]
+    main(["--src", path, "--dest", str(tmp_path / "line"), "--compression", "gzip"])
+    assert found(spark, str(tmp_path / "line")) == rows[0][0]
+    assert all(p.name.endswith(".gz") for p in (tmp_path / "line").glob("part-*"))

@@ -3,6 +3,7 @@
 import importlib
 import os
 import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -51,3 +52,26 @@ def test_query_matches_sql(spark, sql, name):
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("tables")
+    documents = [(i, "One line here.\nAnother, of 5 words." * (i % 3), "en", f"src{i % 2}", 0) for i in range(60)]
+    turns = [(i, 0, "user", "Some words for a lexicon.") for i in range(9)]
+    for name, rows, schema in (
+        ("documents", documents, "doc_id long, text string, lang string, source string, n_chars long"),
+        ("conversations", turns, "conv_id long, turn long, role string, text string"),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(str(folder / f"{name}.parquet"))
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n.startswith("ingest") or n in ("json_round_trip", "read_back")])
+def test_nested_json_of_a_query_is_compressed(spark, tables, name):
+    """Plain, it has six times the bytes of its texts."""
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {*shared.rglob("part-*.json*")}
+    assert QUERIES[name](spark, tables).collect()
+    written = {*shared.rglob("part-*.json*")} - before
+    assert written and all(p.name.endswith(".json.gz") for p in written)
